@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracemill.llm.p1_top_n import top_traces
 from tracemill.llm.p2_repetition import generations, repeated_generations, text_repetition
+from tracemill.llm.p5_truncation import cut_generations, truncation_rates
+from tracemill.llm.p6_leaks import leak_report, leaked_items
+from tracemill.llm.p7_fusion import best_of_batch, fused
 from tracemill.llm.p8_encode import encode_corpus
 from tracemill.llm.p9_mix import mix, mix_plan, reached_shares, unreachable
 from tracemill.llm.tables import table
@@ -14,6 +18,10 @@ from tracemill.llm.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return top_traces(table(spark, folder, "scored")).select("_cluster", "score_id")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_generations(table(spark, folder, "problems"))
 
@@ -22,6 +30,30 @@ def p2_measures(spark: SparkSession, folder: str) -> DataFrame:
     return text_repetition(generations(table(spark, folder, "problems"), "row_id"), ["row_id", "gen_pos"], "text")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_generations(table(spark, folder, "problems"))
+
+
+def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation_rates(table(spark, folder, "problems"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked_items(table(spark, folder, "problems"), table(spark, folder, "benchmark_items"), "row_id", "problem")
+
+
+def p6_items(spark: SparkSession, folder: str) -> DataFrame:
+    return leak_report(table(spark, folder, "problems"), table(spark, folder, "benchmark_items"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return best_of_batch(table(spark, folder, "scored"))
+
+
+def p7_fusion(spark: SparkSession, folder: str) -> DataFrame:
+    return fused(table(spark, folder, "scored"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
