@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracemill.llm.oracle import ORACLE
+from tracemill.llm.p10_level import level_profile, reading_levels, top_level
 from tracemill.llm.p1_top_n import top_traces
 from tracemill.llm.p2_repetition import generations, repeated_generations, text_repetition
+from tracemill.llm.p4_pairs import defect_counts, defects
 from tracemill.llm.p5_truncation import cut_generations, truncation_rates
 from tracemill.llm.p6_leaks import leak_report, leaked_items
 from tracemill.llm.p7_fusion import best_of_batch, fused
@@ -30,6 +33,14 @@ def p2_measures(spark: SparkSession, folder: str) -> DataFrame:
     return text_repetition(generations(table(spark, folder, "problems"), "row_id"), ["row_id", "gen_pos"], "text")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return defects(table(spark, folder, "selected"))
+
+
+def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return defect_counts(table(spark, folder, "selected"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return cut_generations(table(spark, folder, "problems"))
 
@@ -71,9 +82,21 @@ def p9_mixed(spark: SparkSession, folder: str) -> DataFrame:
     return mix(docs, mix_plan(docs, table(spark, folder, "mix_targets")))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return top_level(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
+
+
+def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return reading_levels(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
+
+
+def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return level_profile(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
