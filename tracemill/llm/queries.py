@@ -10,6 +10,7 @@ from tracemill.llm.oracle import ORACLE
 from tracemill.llm.p10_level import level_profile, reading_levels, top_level
 from tracemill.llm.p1_top_n import top_traces
 from tracemill.llm.p2_repetition import generations, repeated_generations, text_repetition
+from tracemill.llm.p3_clusters import group_profiles, near_traces
 from tracemill.llm.p4_pairs import defect_counts, defects
 from tracemill.llm.p5_truncation import cut_generations, truncation_rates
 from tracemill.llm.p6_leaks import leak_report, leaked_items
@@ -33,6 +34,14 @@ def p2_measures(spark: SparkSession, folder: str) -> DataFrame:
     return text_repetition(generations(table(spark, folder, "problems"), "row_id"), ["row_id", "gen_pos"], "text")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return near_traces(table(spark, folder, "scored"))
+
+
+def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return group_profiles(table(spark, folder, "scored"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return defects(table(spark, folder, "selected"))
 
