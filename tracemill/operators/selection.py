@@ -37,7 +37,7 @@ def selection_score(tags: Column | str, issues: Column | str, label: Column | st
     capped = None
     for issue, cap in SEVERE_CAPS:
         hit = F.coalesce(F.array_contains(issues, issue), F.lit(False))
-        capped = (capped or F).when(hit, F.least(raw, F.lit(cap)))
+        capped = (F if capped is None else capped).when(hit, F.least(raw, F.lit(cap)))
     return capped.otherwise(raw)
 
 

@@ -1,21 +1,21 @@
-"""Registry of the core queries."""
+"""All core queries with their SQL, and the flagship query."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from tracemill.plans import corpus_queries, trace_queries  # noqa: F401  (registers the queries)
+from tracemill.plans.registry import ORACLE, QUERIES, Query
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/problems.parquet").groupBy("source").count()
+    """Raw problems to high-quality rows: contamination and loops out, the best share of each source."""
+    return trace_queries.high_quality_split(spark, folder)
