@@ -13,14 +13,18 @@ def perplexity(mean_loss: Column) -> Column:
     return F.exp(mean_loss)
 
 
-def fit_kmeans(df: DataFrame, embedding: str, k: int = 40, seed: int = 42, rounds: int = 20) -> KMeansModel:
-    """Distributed k-means over the rows that have an embedding."""
+def fit_kmeans(df: DataFrame, embedding: str, k: int = 40, seed: int = 42, rounds: int = 20) -> KMeansModel | None:
+    """Distributed k-means over the rows that have an embedding; None if no row has."""
     rows = df.filter(F.col(embedding).isNotNull()).select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features"))
+    if not rows.limit(1).count():
+        return None
     return KMeans(k=k, seed=seed, maxIter=rounds).fit(rows)
 
 
-def with_clusters(df: DataFrame, embedding: str, model: KMeansModel, name: str = "cluster") -> DataFrame:
+def with_clusters(df: DataFrame, embedding: str, model: KMeansModel | None, name: str = "cluster") -> DataFrame:
     """A column with the cluster of each row; rows without an embedding are dropped."""
     rows = df.filter(F.col(embedding).isNotNull()).withColumn("_features", array_to_vector(F.col(embedding).cast("array<double>")))
+    if model is None:
+        return rows.drop("_features").withColumn(name, F.lit(None).cast("int"))
     model.setFeaturesCol("_features").setPredictionCol(name)
     return model.transform(rows).drop("_features")
