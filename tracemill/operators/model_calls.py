@@ -8,6 +8,7 @@ never calls a model twice, and what follows is ordinary relational work.
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.error
 import urllib.request
@@ -120,16 +121,14 @@ def error_type(error: Column | str) -> Column:
 
 def template(text: str, **columns: Column) -> Column:
     """A prompt from a template with ``{name}`` places; doubled braces are single ones."""
-    parts: list[Column] = []
-    rest = text.replace("{{", "\x01").replace("}}", "\x02")
-    while rest:
-        spots = [(rest.find("{" + n + "}"), n) for n in columns if "{" + n + "}" in rest]
-        if not spots:
-            break
-        at, name = min(spots)
-        parts += [F.lit(rest[:at].replace("\x01", "{").replace("\x02", "}")), F.coalesce(columns[name].cast("string"), F.lit(""))]
-        rest = rest[at + len(name) + 2 :]
-    return F.concat(*parts, F.lit(rest.replace("\x01", "{").replace("\x02", "}")))
+    parts, at = [], 0
+    for m in re.finditer(r"\{\{|\}\}|\{(\w+)\}", text):
+        if m.group(1) and m.group(1) not in columns:
+            continue
+        found = F.coalesce(columns[m.group(1)].cast("string"), F.lit("")) if m.group(1) else F.lit(m.group()[0])
+        parts += [F.lit(text[at : m.start()]), found]
+        at = m.end()
+    return F.concat(*parts, F.lit(text[at:]))
 
 
 def judge_requests(pairs: DataFrame, text: str) -> DataFrame:
