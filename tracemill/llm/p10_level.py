@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -41,9 +42,13 @@ def segments(text: str, known: dict[str, list[int]]) -> tuple[list[int], list[in
     sizes: list[int] = []
     for sentence in _SENTENCE.split(text.lower()):
         before = len(out)
-        for word in _WORD.findall(sentence):
-            found = known.get(word)
-            out.extend(_buckets(word, known) if found is None else found)
+        words = _WORD.findall(sentence)
+        try:
+            out.extend(chain.from_iterable(map(known.__getitem__, words)))
+        except KeyError:
+            del out[before:]
+            for word in words:
+                out.extend(known.get(word) or _buckets(word, known))
         n = len(out) - before
         while n > 2 * _PART:
             sizes.append(_PART)
