@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import non_blank
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value worked out once per row, also where ``f`` uses it inside another array function."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def or_empty(c: Column | str, kind: str = "array<string>") -> Column:
     """The array, or an empty one for null."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.array().cast(kind))

@@ -147,11 +147,11 @@ def has_reasoning_signal(c: Column | str) -> Column:
     return F.lower(text).rlike("|".join(map(quoted, REASONING_MARKERS))) | text.rlike(MATH_SIGN)
 
 
-def is_non_supporting(c: Column | str) -> Column:
-    """A block with a mark of doubt, or with hardly a token and nothing mathematical."""
+def is_non_supporting(c: Column | str, tokens: Column | None = None) -> Column:
+    """A block with a mark of doubt, or with hardly a token (given, if they are known) and nothing mathematical."""
     text = _col(c)
     marked = F.lower(text).rlike("|".join(map(quoted, NON_SUPPORTING_MARKERS)))
-    return marked | ((F.size(dependency_tokens(text)) <= 1) & ~text.rlike(r"\\boxed|\d|[=<>]"))
+    return marked | ((F.size(dependency_tokens(text) if tokens is None else tokens) <= 1) & ~text.rlike(r"\\boxed|\d|[=<>]"))
 
 
 def opens_block(c: Column | str) -> Column:

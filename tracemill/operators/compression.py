@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracemill.functions.arrays import or_empty
+from tracemill.functions.arrays import let, or_empty
 from tracemill.functions.parsing import udf_blocks, udf_targets
 from tracemill.functions.percentiles import at_index, index_percent, index_upper_median
 from tracemill.functions.text import canonical_target, dependency_tokens, has_reasoning_signal, is_non_supporting, numbers, word_count
@@ -17,10 +17,14 @@ def _ints() -> Column:
 
 def block_facts(text: Column) -> Column:
     """What deciding about a block needs, worked out once per block."""
-    return F.struct(
-        text.alias("text"), canonical_target(text).alias("key"), dependency_tokens(text).alias("tokens"), numbers(text).alias("numbers"),
-        has_reasoning_signal(text).alias("signal"), is_non_supporting(text).alias("doubt"),
-    )
+
+    def facts(tokens: Column) -> Column:
+        return F.struct(
+            text.alias("text"), canonical_target(text).alias("key"), tokens.alias("tokens"), numbers(text).alias("numbers"),
+            has_reasoning_signal(text).alias("signal"), is_non_supporting(text, tokens).alias("doubt"),
+        )
+
+    return let(dependency_tokens(text), facts)
 
 
 def target_facts(text: Column) -> Column:
@@ -42,14 +46,13 @@ def labelled(df: DataFrame, blocks: Column, targets: Column) -> DataFrame:
     The nested loop of blocks and targets stays within the row as array
     functions: no shuffle, and a row's product is as large as its own text.
     """
-    rows = df.withColumn("_b", F.transform(blocks, block_facts)).withColumn("_t", F.transform(targets, target_facts))
-    ids = F.transform("_t", lambda t, j: F.struct(j.alias("j"), t.alias("t")))
 
-    def label(b: Column, i: Column) -> Column:
-        own = F.transform(F.filter(ids, lambda x: supports(b, x["t"])), lambda x: x["j"])
-        return F.struct(i.alias("block_id"), F.when(F.size(own) > 0, "SUPPORTING").otherwise("NON_SUPPORTING").alias("type"), own.alias("supports"))
+    def label(b: Column, i: Column, goals: Column) -> Column:
+        hits = F.transform(F.filter(goals, lambda x: supports(b, x["t"])), lambda x: x["j"])
+        return let(hits, lambda own: F.struct(i.alias("block_id"), F.when(F.size(own) > 0, "SUPPORTING").otherwise("NON_SUPPORTING").alias("type"), own.alias("supports")))
 
-    return rows.withColumn("block_labels", F.transform("_b", label)).drop("_b", "_t")
+    goals = F.transform(targets, lambda t, j: F.struct(j.alias("j"), target_facts(t).alias("t")))
+    return df.withColumn("block_labels", let(goals, lambda g: F.transform(F.transform(blocks, block_facts), lambda b, i: label(b, i, g))))
 
 
 def label_parts(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracemill.functions.arrays import let
 from tracemill.functions.text import is_clean_marker, quoted, squeeze_blanks, strip
 
 # The markers that are always in the dictionary, by category.
@@ -54,14 +55,14 @@ def category(marker: Column) -> Column:
 def seed_counts(texts: DataFrame, text: str) -> DataFrame:
     """How often each seed occurs, case ignored and no letter next to it: ``marker, n``.
 
-    One pass: every row counts all seeds into one array, which is summed
-    position by position before anything moves.
+    A plain search finds the seeds that a text has at all; only those go
+    through their pattern, and only counts leave the partition.
     """
-    seeds = [m for group in SEEDS.values() for m in group]
+    seeds = F.array(*[F.struct(F.lit(m).alias("marker"), F.lit(m.lower()).alias("low"), F.lit("(?i)(?<![A-Za-z])" + quoted(m) + "(?![A-Za-z])").alias("p")) for group in SEEDS.values() for m in group])
     clean = texts.filter(F.col(text).isNotNull()).select(squeeze_blanks(text).alias("_t"))
-    sums = [F.coalesce(F.sum(F.regexp_count("_t", F.lit("(?i)(?<![A-Za-z])" + quoted(m) + "(?![A-Za-z])"))), F.lit(0)).alias(f"_{i}") for i, m in enumerate(seeds)]
-    one = clean.agg(*sums).select(F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), F.col(f"_{i}").alias("n")) for i, m in enumerate(seeds)])).alias("x"))
-    return one.select("x.marker", "x.n").filter(F.col("n") > 0)
+    there = let(F.lower("_t"), lambda low: F.filter(seeds, lambda s: F.contains(low, s["low"])))
+    found = clean.select("_t", F.explode(there).alias("s")).select("s.marker", F.regexp_count("_t", F.col("s.p")).alias("n"))
+    return found.groupBy("marker").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
 
 
 def leading_counts(texts: DataFrame, text: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracemill.functions.arrays import or_empty
+from tracemill.functions.arrays import let, or_empty
 
 # Weights, penalties, caps and bonuses of the scores.
 QUALITY_WEIGHT = {"Present": 3.0, "Cohesive": 3.0, "Deep": 2.0, "Concise": 2.0, "Exploratory": 1.0}
@@ -78,10 +78,10 @@ def pick_pair(texts: Column, least_share: float = 0.5) -> Column:
     """
     rows = F.filter(F.transform(or_empty(texts), lambda x, i: F.struct(F.length(x).alias("n"), i.alias("i"))), lambda g: g["n"].isNotNull())
     median = lambda a: F.get(F.array_sort(F.transform(a, lambda g: g["n"])), F.floor(F.size(a) / 2).cast("int"))
-    kept = F.filter(rows, lambda g: g["n"] >= F.lit(least_share) * median(rows))
-    nearest = F.array_sort(F.transform(kept, lambda g: F.struct(F.abs(g["n"] - median(kept)).alias("d"), g["n"].alias("n"), g["i"].alias("i"))))
-    pair = F.struct(F.get(nearest, F.lit(0))["i"].alias("a"), F.get(nearest, F.lit(1))["i"].alias("b"))
-    return F.when((F.size(rows) >= 2) & (F.size(kept) >= 2), pair)
+    enough = lambda a: let(median(a), lambda m: F.filter(a, lambda g: g["n"] >= F.lit(least_share) * m))
+    nearest = lambda a: let(median(a), lambda m: F.array_sort(F.transform(a, lambda g: F.struct(F.abs(g["n"] - m).alias("d"), g["n"].alias("n"), g["i"].alias("i")))))
+    pair = lambda a: F.when(F.size(a) >= 2, F.struct(F.get(a, F.lit(0))["i"].alias("a"), F.get(a, F.lit(1))["i"].alias("b")))
+    return let(rows, lambda r: F.when(F.size(r) >= 2, let(let(enough(r), nearest), pair)))
 
 
 def first_two_short(texts: Column, most: int = 12000) -> Column:
