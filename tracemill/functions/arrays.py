@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import non_blank
@@ -15,6 +15,12 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """The columns of a table of one row next to every row, as a scalar subquery."""
+    one = row.select(F.struct(*row.columns).alias("one")).scalar()
+    return df.select("*", *[one.getField(c).alias(c) for c in row.columns])
+
+
 def or_empty(c: Column | str, kind: str = "array<string>") -> Column:
     """The array, or an empty one for null."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.array().cast(kind))

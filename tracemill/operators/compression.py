@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracemill.functions.arrays import let, or_empty
+from tracemill.functions.arrays import let, or_empty, with_row
 from tracemill.functions.parsing import udf_blocks, udf_targets
 from tracemill.functions.percentiles import at_index, index_percent, index_upper_median
 from tracemill.functions.text import canonical_target, dependency_tokens, has_reasoning_signal, is_non_supporting, numbers, word_count
@@ -142,7 +142,7 @@ def batch_summary(stats: DataFrame) -> DataFrame:
         F.avg("num_blocks").alias("mean_blocks"), F.count_if(ratio >= 0.99).alias("all_supporting"), F.count_if(ratio <= 0.01).alias("none_supporting"),
         F.count_if(ratio < 0.2).alias("very_high"), F.count_if(ratio > 0.9).alias("very_low"),
     )
-    return out.crossJoin(at)
+    return with_row(out, at)
 
 
 # Edges of the histograms.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.functions.arrays import or_empty
+from tracemill.functions.arrays import or_empty, with_row
 from tracemill.functions.percentiles import at_index, index_floor, index_round, linear
 from tracemill.functions.text import non_blank, strip, think_text
 
@@ -31,7 +31,7 @@ def length_profile_index(df: DataFrame, text: str, unit: str = "words") -> DataF
     """Maximum, mean, the values at index floor(n p) and the cut-off rounded up to the next multiple of 512."""
     n = df.select(_length(text, unit).alias("n")).filter(F.col("n").isNotNull())
     at = at_index(n, "n", {"p90": index_floor(0.9), "p95": index_floor(0.95), "p99": index_floor(0.99)})
-    return n.agg(F.max("n").alias("longest"), F.avg("n").alias("mean")).crossJoin(at).withColumn("suggested", (F.floor(F.col("p95") / 512) + 1) * 512)
+    return with_row(n.agg(F.max("n").alias("longest"), F.avg("n").alias("mean")), at).withColumn("suggested", (F.floor(F.col("p95") / 512) + 1) * 512)
 
 
 def longest_text(df: DataFrame, by: str, text: str, order: str) -> DataFrame:
@@ -45,14 +45,14 @@ def think_length_profile(df: DataFrame, text: str, share: float = 0.7) -> DataFr
     """Number, range, mean and percentile (rounded index, halves to even) of the lengths of the thinking."""
     n = df.filter(F.col(text).isNotNull()).select(F.length(think_text(text)).cast("bigint").alias("n"))
     cut = at_index(n, "n", {"cut": index_round(share)})
-    return n.agg(F.count("n").alias("n"), F.min("n").alias("shortest"), F.max("n").alias("longest"), F.avg("n").alias("mean")).crossJoin(cut)
+    return with_row(n.agg(F.count("n").alias("n"), F.min("n").alias("shortest"), F.max("n").alias("longest"), F.avg("n").alias("mean")), cut)
 
 
 def route_by_length(df: DataFrame, text: str, share: float = 0.7) -> DataFrame:
     """All rows with a text, their thinking's length, and ``route``: ``long`` above the percentile, else ``short``."""
     rows = df.filter(F.col(text).isNotNull()).withColumn("think_char_len", F.length(think_text(text)).cast("bigint"))
-    cut = at_index(rows.select("think_char_len"), "think_char_len", {"_cut": index_round(share)})
-    return rows.crossJoin(F.broadcast(cut)).withColumn("route", F.when(F.col("think_char_len") > F.col("_cut"), "long").otherwise("short")).drop("_cut")  # one row
+    cut = at_index(rows.select("think_char_len"), "think_char_len", {"cut": index_round(share)}).scalar()
+    return rows.withColumn("route", F.when(F.col("think_char_len") > cut, "long").otherwise("short"))
 
 
 def completeness(df: DataFrame, flags: str = "is_reasoning_complete") -> DataFrame:
@@ -71,7 +71,8 @@ def generations_histogram(df: DataFrame, texts: str = "generations") -> DataFram
     """How many rows have how many non-blank generations, with the share of all rows; null lists are -1."""
     n = F.when(F.col(texts).isNull(), -1).otherwise(F.size(F.filter(texts, non_blank))).alias("n_generations")
     counts = df.select(n).groupBy("n_generations").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.crossJoin(counts.agg(F.sum("rows").alias("_all"))).select("n_generations", "rows", (F.lit(100.0) * F.col("rows") / F.col("_all")).alias("pct"))
+    total = counts.agg(F.sum("rows")).scalar()
+    return counts.select("n_generations", "rows", (F.lit(100.0) * F.col("rows") / total).alias("pct"))
 
 
 def generations_summary(df: DataFrame, texts: str = "generations") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions.arrays import let, or_empty
+from tracemill.operators.ranking import ranked
 
 # Weights, penalties, caps and bonuses of the scores.
 QUALITY_WEIGHT = {"Present": 3.0, "Cohesive": 3.0, "Deep": 2.0, "Concise": 2.0, "Exploratory": 1.0}
@@ -103,7 +104,22 @@ def top_share(df: DataFrame, cluster: str, order: list[Column], share: float, ke
     whole = Window.partitionBy(cluster)
     size = F.floor(F.count(F.lit(1)).over(whole) * F.lit(float(share)))
     most = F.greatest(size, F.lit(1)) if keep_one else size
-    return df.withColumn("_p", F.row_number().over(whole.orderBy(*order))).withColumn("_most", most).withColumn("split", F.when(F.col("_p") <= F.col("_most"), "high").otherwise("low")).drop("_p", "_most")
+    return df.withColumn("__p", F.row_number().over(whole.orderBy(*order))).withColumn("__most", most).withColumn("split", F.when(F.col("__p") <= F.col("__most"), "high").otherwise("low")).drop("__p", "__most")
+
+
+def ranked_share(df: DataFrame, key: str, cluster: str, order: list[Column], share: float, keep_one: bool = True) -> DataFrame:
+    """``(key, split)`` as ``top_share`` gives it, for clusters of any size.
+
+    Positions come from one range sort of all rows with prefix sums
+    (``ranking.ranked``) instead of a window that puts a cluster into one
+    task; cluster sizes are counted before the shuffle. ``key`` is unique.
+    """
+    name = F.coalesce(F.col(cluster).cast("string"), F.lit("\x00"))
+    rows = df.withColumn("__cluster", name)
+    placed = ranked(rows, ["__cluster"], [key], [*order, F.col(key)], [key])
+    sizes = rows.groupBy("__cluster").agg(F.floor(F.count(F.lit(1)) * F.lit(float(share))).alias("__size"))
+    most = F.greatest(F.col("__size"), F.lit(1)) if keep_one else F.col("__size")
+    return placed.join(sizes, "__cluster").select(key, F.when(F.col("position") <= most, "high").otherwise("low").alias("split"))
 
 
 def split_summary(df: DataFrame, score: str, ifd: str | None = None) -> DataFrame:

@@ -178,7 +178,7 @@ s AS (SELECT score_id, CASE WHEN p <= most THEN 'high' ELSE 'low' END AS split,
 def _top(spark: SparkSession, folder: str, score: str, keep_one: bool) -> DataFrame:
     rows = table(spark, folder, "scored").filter("status = 'ok'")
     order = [F.col(score).desc_nulls_last(), F.col("IFD_Score").desc_nulls_last(), F.col("output_chars").asc_nulls_first(), F.col("score_id")]
-    return selection.top_share(rows, "_cluster", order, 0.8, keep_one)
+    return selection.ranked_share(rows, "score_id", "_cluster", order, 0.8, keep_one)
 
 
 @query(_top_sql("global_score", 1) + "SELECT score_id, split FROM s")
@@ -195,7 +195,8 @@ def cluster_topk_v1(spark: SparkSession, folder: str) -> DataFrame:
   round(avg(CASE WHEN NOT isnan(IFD_Score) AND NOT isinf(IFD_Score) THEN IFD_Score END), 6) AS avg_ifd FROM s GROUP BY split""")
 def cluster_split_summary(spark: SparkSession, folder: str) -> DataFrame:
     finite = lambda c: F.when(F.abs(c) < float("inf"), F.col(c))
-    rows = _top(spark, folder, "global_score", True).withColumns({"global_score": finite("global_score"), "IFD_Score": finite("IFD_Score")})
+    scores = table(spark, folder, "scored").select("score_id", finite("global_score").alias("global_score"), finite("IFD_Score").alias("IFD_Score"))
+    rows = _top(spark, folder, "global_score", True).join(scores, "score_id")
     out = selection.split_summary(rows, "global_score", "IFD_Score")
     return out.select("split", "n", F.round("avg_score", 6).alias("avg_score"), F.round("avg_ifd", 6).alias("avg_ifd"))
 
