@@ -39,4 +39,18 @@ hit AS (SELECT DISTINCT row_id, item_id FROM g JOIN p USING (n, g))
 P6_FOUND = _LEAKS + "SELECT row_id, item_id FROM hit"
 P6_ITEMS = _LEAKS + "SELECT item_id, count(*) AS n_records FROM hit GROUP BY item_id"
 
-ORACLE = {"p1_found": P1_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS, "p7_found": P7_FOUND, "p7_fusion": P7_FUSION}
+#: Positions count from 1 here; a stretch of six is repeated from its second start on.
+P2_FOUND = """WITH g AS (SELECT row_id, i AS gen_pos, regexp_extract_all(lower(generations[i + 1]), '[\\p{L}\\p{N}]+') AS w
+  FROM (SELECT row_id, generations, unnest(generate_series(0, len(generations) - 1)) AS i FROM problems WHERE len(generations) > 0) WHERE generations[i + 1] IS NOT NULL),
+s AS (SELECT row_id, gen_pos, p, array_to_string(w[p : p + 5], ' ') AS gram FROM (SELECT row_id, gen_pos, w, unnest(generate_series(1, len(w) - 5)) AS p FROM g WHERE len(w) >= 6)),
+again AS (SELECT row_id, gen_pos, p FROM (SELECT row_id, gen_pos, p, row_number() OVER (PARTITION BY row_id, gen_pos, gram ORDER BY p) AS k FROM s) WHERE k > 1),
+c AS (SELECT row_id, gen_pos, count(DISTINCT q) AS n FROM (SELECT row_id, gen_pos, unnest(generate_series(p, p + 5)) AS q FROM again) GROUP BY ALL)
+SELECT row_id, CAST(gen_pos AS INT) AS gen_pos FROM c JOIN g USING (row_id, gen_pos) WHERE CAST(n AS DOUBLE) / len(w) >= 0.3"""
+
+#: The near rows of a row are its whole group, as groups are far apart in these tables.
+P3_FOUND = f"""WITH cur AS ({CURRENT}),
+v AS (SELECT score_id, CAST(embedding AS DOUBLE[]) AS e FROM cur WHERE len(embedding) = 32 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT score_id, e FROM v WHERE list_max(list_transform(e, lambda x: abs(x))) > 0)
+SELECT min(a.score_id) AS rep_id, b.score_id AS member_id FROM u a JOIN u b ON a.score_id < b.score_id AND list_cosine_similarity(a.e, b.e) >= 0.95 GROUP BY b.score_id"""
+
+ORACLE = {"p1_found": P1_FOUND, "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS, "p7_found": P7_FOUND, "p7_fusion": P7_FUSION}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.llm.p8_encode import count_tokens
+from tracemill.sources.stage import staged
 
 
 def source_tokens(docs: DataFrame, targets: DataFrame, source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -18,11 +19,10 @@ def source_tokens(docs: DataFrame, targets: DataFrame, source_col: str = "source
     """
     wanted = targets.filter(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     own = docs.select(F.col(source_col).alias("source"), F.col(text_col).alias("text")).join(wanted.select("source"), "source", "left_semi")
-    sums = count_tokens(own, ["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("tokens"))
+    sums = staged(count_tokens(own, ["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("tokens")), "tokens")
     zero = F.lit(0).cast("bigint")
     joined = wanted.join(sums, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("n_docs", zero).alias("n_docs"), F.coalesce("tokens", zero).alias("tokens"))
-    total = joined.agg(F.coalesce(F.sum("tokens"), zero).alias("total"))
-    return joined.crossJoin(total)  # one row: the grand total
+    return joined.withColumn("total", joined.agg(F.coalesce(F.sum("tokens"), zero)).scalar())
 
 
 def mix_plan(docs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -68,11 +68,9 @@ def reached_shares(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
     copies = whole + F.when(share < F.col("rate") - whole, 1).otherwise(0)
     mixed = counted.join(plan.select("source", "rate"), "source").groupBy("source").agg(F.sum(copies * F.col("n_tokens")).alias("mixed_tokens"))
     rows = plan.join(mixed, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0)).cast("bigint"))
-    grand = rows.agg(F.sum("mixed_tokens").alias("_all"))
-    return rows.crossJoin(grand).select(
-        "source", "target_share", "max_repeats", "tokens", "rate", "mixed_tokens",
-        F.when(F.col("_all") > 0, F.col("mixed_tokens") / F.col("_all")).otherwise(0.0).alias("mixed_share"),
-    )
+    every = rows.agg(F.sum("mixed_tokens")).scalar()
+    share_ = F.when(every > 0, F.col("mixed_tokens") / every).otherwise(0.0)
+    return rows.select("source", "target_share", "max_repeats", "tokens", "rate", "mixed_tokens", share_.alias("mixed_share"))
 
 
 def unreachable(docs: DataFrame, targets: DataFrame) -> DataFrame:
