@@ -21,6 +21,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _CJK = re.compile(r"[㐀-鿿぀-ヿ]")
 #: A stretch without a sentence end is taken in parts of so many words.
 _PART = 25
+#: A labelled document counts as so many others; one without a label counts by the mean precision of its words above a floor, at most once.
+_LABEL_WEIGHT, _LEAST_PRECISION = 10.0, 0.3
 #: Prior of a word's spread: variance, and its weight in occurrences.
 _PRIOR_VARIANCE, _PRIOR_WEIGHT = 1.25, 3.0
 
@@ -124,15 +126,16 @@ def _word_sums(bags_: DataFrame, anchors: bool, model: Difficulty | None) -> np.
         sums = np.zeros((3, BUCKETS))
         for batch in batches:
             words, ends = _flat(batch.column(0))
+            sizes = np.diff(np.concatenate(([0], ends)))
             if anchors:
-                level = batch.column(1).to_numpy(zero_copy_only=False)
+                level, weight = batch.column(1).to_numpy(zero_copy_only=False), np.full(len(sizes), _LABEL_WEIGHT)
             else:
                 level, precision = model.levels(words, ends)
-                level = np.where(precision >= 2.0, np.clip(level, 0.5, 4.5), np.nan)
-            each = np.repeat(level, np.diff(np.concatenate(([0], ends))))
-            known = ~np.isnan(each)
-            words, each = words[known], each[known]
-            for i, value in enumerate((None, each, each * each)):
+                level, weight = np.clip(level, 0.5, 4.5), np.clip(precision / np.maximum(sizes, 1) - _LEAST_PRECISION, 0.0, 1.0)
+            each, weight = np.repeat(level, sizes), np.repeat(weight, sizes)
+            known = ~np.isnan(each) & (weight > 0)
+            words, each, weight = words[known], each[known], weight[known]
+            for i, value in enumerate((weight, weight * each, weight * each * each)):
                 sums[i] += np.bincount(words, value, BUCKETS)
         at = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(s[at]) for s in sums]], names=["bucket", "n", "s1", "s2"])
@@ -170,7 +173,8 @@ def fit(bags_: DataFrame, labelled: DataFrame, rounds: int = 3) -> Difficulty |
     difficulty of a word is the mean level of its occurrences; given the
     difficulties, the level of a document is the mean difficulty of its words
     by precision. The labels fix the scale: the first round learns from
-    labelled documents alone, the others from all documents.
+    labelled documents alone, the others from all documents, each by how well
+    its words are known already.
     """
     sums = _word_sums(labelled, True, None)
     if not sums[0].sum():
