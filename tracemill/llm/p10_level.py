@@ -217,11 +217,17 @@ def estimate(bags_: DataFrame, model: Difficulty, keep: list[str]) -> DataFrame:
     return bags_.select(*keep, "words", "sizes").mapInArrow(run, f"{kinds}, level double, whole double")
 
 
-def cut_between(labelled: DataFrame, model: Difficulty, upper: int = 4, bins: int = 500) -> float:
-    """The value of ``whole`` that best parts the labels from ``upper`` on from those below it, by balanced error on a histogram."""
-    known = estimate(labelled.withColumnRenamed("level", "label"), model, ["label"]).filter(F.col("whole").isNotNull())
+def cut_between(labelled: DataFrame, model: Difficulty, upper: int = 4, bins: int = 500, slack: float = 0.005) -> float:
+    """The value of ``whole`` that parts the labels from ``upper`` on from those below it.
+
+    On a histogram of the labelled documents: the middle of the widest stretch
+    of cuts whose balanced error is within ``slack`` of the least. Documents
+    whose raters disagree about the side don't count.
+    """
+    known = estimate(labelled.withColumnRenamed("level", "label"), model, ["label"])
+    clear = known.filter(F.col("whole").isNotNull() & (F.abs(F.col("label") - (upper - 0.5)) > 0.25))
     bin_ = F.least(F.greatest(F.floor(F.col("whole") / 5 * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-    rows = known.groupBy(bin_.alias("bin"), (F.col("label") > upper - 0.5).alias("high")).count().collect()  # at most 2 x bins rows
+    rows = clear.groupBy(bin_.alias("bin"), (F.col("label") > upper - 0.5).alias("high")).count().collect()  # at most 2 x bins rows
     count = np.zeros((2, bins))
     for r in rows:
         count[int(r["high"]), r["bin"]] += r["count"]
@@ -231,10 +237,10 @@ def cut_between(labelled: DataFrame, model: Difficulty, upper: int = 4, bins: in
     missed = np.concatenate(([0], np.cumsum(high))) / high.sum()
     wrong = (low.sum() - np.concatenate(([0], np.cumsum(low)))) / max(low.sum(), 1)
     error = missed + wrong
-    best = np.flatnonzero(error <= error.min() + 1e-12)
-    # the middle of the first gap that is best throughout
-    gap = best[: np.argmax(np.append(np.diff(best) > 1, True)) + 1]
-    return float((gap[0] + gap[-1]) / 2 / bins * 5)
+    good = np.flatnonzero(error <= error.min() + slack)
+    runs = np.split(good, np.flatnonzero(np.diff(good) > 1) + 1)
+    widest = max(runs, key=len)
+    return float((widest[0] + widest[-1]) / 2 / bins * 5)
 
 
 def _prepared(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
