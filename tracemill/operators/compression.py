@@ -9,6 +9,7 @@ from tracemill.functions.arrays import let, or_empty, with_row
 from tracemill.functions.parsing import udf_blocks, udf_targets
 from tracemill.functions.percentiles import at_index, index_percent, index_upper_median
 from tracemill.functions.text import canonical_target, dependency_tokens, has_reasoning_signal, is_non_supporting, numbers, word_count
+from tracemill.sources.stage import staged
 
 
 def _ints() -> Column:
@@ -135,6 +136,7 @@ def violations(labels: Column, block_ids: Column, target_ids: Column) -> Column:
 
 def batch_summary(stats: DataFrame) -> DataFrame:
     """Means, both medians and percentiles of the block ratios over all rows, and how many rows are extreme."""
+    stats = staged(stats.select("compression_ratio_blocks", "target_coverage", "num_blocks"), "stats")  # read twice below
     ratio = F.col("compression_ratio_blocks")
     at = at_index(stats, "compression_ratio_blocks", {"p10": index_percent(10), "p90": index_percent(90), "upper_median": index_upper_median()})
     out = stats.agg(
