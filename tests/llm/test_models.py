@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tracemill.llm.p3_clusters import _components, _leaves, component_labels, group_profiles, near_traces, similar_groups, ward
+from tracemill.llm.p3_clusters import _components, _cones, _leaves, component_labels, group_profiles, near_traces, similar_groups, ward
 from tracemill.llm.p10_level import reading_levels, segments, top_level
 
 SCORED = "score_id bigint, trace_id string, status string, scored_at timestamp, embedding array<float>"
@@ -78,6 +78,19 @@ def test_chains_are_parted(spark):
     assert groups and all((np.array(g) @ np.array(g).T).min() >= 0.95 - 1e-6 for g in groups.values())
 
 
+def test_many_leaves_of_one_component_are_all_compared():
+    """More leaves than one block holds: the survivors of different blocks are still the same group."""
+    rng = np.random.default_rng(11)
+    near = unit(np.eye(32)[0] + rng.normal(size=(3000, 32)) * 0.01)
+    assert np.unique(_cones(near, np.ones(3000), np.arccos(0.95))).tolist() == [0]
+    two = unit(np.concatenate([near[:1500], np.eye(32)[1] + rng.normal(size=(1500, 32)) * 0.01])[rng.permutation(3000)])
+    assert len(np.unique(_cones(two, np.ones(3000), np.arccos(0.95)))) == 2
+    turn = np.linspace(0, 2 * np.pi, 2500, endpoint=False)
+    ring = np.stack([np.cos(turn), np.sin(turn)], 1)
+    group = _cones(ring, np.ones(2500), np.arccos(0.95))
+    assert all((ring[group == g] @ ring[group == g].T).min() >= 0.95 - 1e-6 for g in np.unique(group))
+
+
 def test_profiles(spark):
     c = np.eye(32)[0]
     vectors = [c + np.eye(32)[1] * 0.2, c, c + np.eye(32)[2] * 0.1, np.eye(32)[5]]
