@@ -136,6 +136,15 @@ def test_cut_generations(spark):
     assert [tuple(r)[:3] for r in truncation_rates(df).collect()] == [("s", 9, 6)]
 
 
+def test_the_trie_decides_where_no_sentence_end_is_due(spark):
+    plain = "first the remainder of the sum\nthen the total of the columns\nand the columns give the total"
+    items = "We need two facts.\n\n- the remainder of the sum\n- the total of the columns"
+    label = "The total has a remainder.\n\nAnswer: the remainder"
+    texts = [plain, plain[:-2], items, items[:-3], label, label[:-4], "## The remainder", "The total is 4. Then the remainder", "Answer: tot", "Then we see this. Answer: tot", plain + " and the"]
+    df = spark.createDataFrame([(1, "s", texts)], "row_id bigint, source string, generations array<string>")
+    assert sorted(r["gen_pos"] for r in cut_generations(df).collect()) == [1, 3, 5, 7, 10]
+
+
 # --- leaks -----------------------------------------------------------------------------
 
 

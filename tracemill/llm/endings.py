@@ -24,6 +24,17 @@ _RESULT = (
 _CONCLUSION = re.compile(rf"(?:{_RESULT})\W*(?:\w+\W+){{0,4}}?[:=：]?[\s*$]*[-+−]?(?:\d[\d.,]*|[a-z]\s*=\s*[-+−]?\d[\d.,]*|\\[a-z]*(?:frac|sqrt|boxed)\b.*)[\s*$}}]*[.!。]?\s*$", re.I)
 _LABELLED = re.compile(r"(?:answer|result|antwort|ergebnis|réponse|résultat|respuesta|resultado|答案|结果)\W*[:：][\s*$]*[^\s].*$", re.I)
 _QED = re.compile(r"(?:\bq\.?e\.?d\.?|∎|■|□|\\qed\b|\\blacksquare)[\s$.]*$", re.I)
+#: Words that cannot end a sentence or a value.
+DANGLING = frozenset(
+    "a an the of to and or is are was be equals for with by from than that in on at as if so which we it has have gives giving when then but hence since"
+    " ist sind der die das den dem ein eine und oder von zu mit für bei als wenn dass gleich beträgt also denn aber"
+    " est sont le la les un une et ou de du des à au aux que qui si donc car pour avec dans par égal vaut mais"
+    " es son el los las una y o del al que si con por para en igual vale así porque pero".split()
+)
+#: What a list entry or heading begins with; a sentence that ends inside a text; so many words without one are a style.
+_ENTRY = re.compile(r"^[ \t]*(?:\d+[.)]|[-*•]|#+)[ \t]+", re.M)
+_ENDED = re.compile(rf"[{TERMINAL}][{re.escape(AFTER)}$]*(?:\s|$)|[。！？]")
+_STYLE_WORDS = 40
 
 
 def open_structures(text: str) -> list[str]:
@@ -115,3 +126,22 @@ def concluded(text: str) -> bool:
     if _LABELLED.search(tail) and not open_structures(tail):
         return True
     return bool(_CONCLUSION.search(tail)) and len(tail) < 120 and tail.rstrip()[-1:] in TERMINAL
+
+
+def labelled_word(text: str) -> bool:
+    """Whether the conclusion that the text ends with is a labelled one that ends in a word: nothing but the word shows that it is whole."""
+    tail = last_line(text)[-300:]
+    return tail.rstrip()[-1:].isalpha() and "\\boxed{" not in tail and not _QED.search(tail) and concluded(text)
+
+
+def loose(text: str) -> bool:
+    """Whether the text may end without the end of a sentence: a list entry or heading where most others have none, or lines or much text without any; never after a word that cannot end one."""
+    line = last_line(text)
+    last = re.search(r"[^\W\d_]{2,}$", line)
+    if last and last.group().lower() in DANGLING:
+        return False
+    if _ENTRY.match(line):
+        others = [x for x in text.rstrip().split("\n")[:-1] if _ENTRY.match(x)]
+        return 2 * sum(map(terminated, others)) <= len(others)
+    bare = _ENTRY.sub("", text.strip())
+    return not _ENDED.search(bare) and ("\n" in bare or len(bare.split(None, _STYLE_WORDS)) > _STYLE_WORDS)

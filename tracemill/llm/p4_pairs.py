@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.endings import concluded, open_structures, terminated, without_mark, without_tags
+from tracemill.llm.endings import DANGLING, concluded, open_structures, terminated, without_mark, without_tags
 
 DEFECTS = ("empty_answer", "refusal", "copied_question", "truncated", "wrong_language")
 
@@ -164,13 +164,6 @@ def is_refusal(text: str, instruction: str) -> bool:
 
 # --- truncated -----------------------------------------------------------------
 
-#: Words that cannot end a sentence or a value.
-_DANGLING = frozenset(
-    "a an the of to and or is are was be equals for with by from than that in on at as if so which we it has have gives giving when then but hence since"
-    " ist sind der die das den dem ein eine und oder von zu mit für bei als wenn dass gleich beträgt also denn aber"
-    " est sont le la les un une et ou de du des à au aux que qui si donc car pour avec dans par égal vaut mais"
-    " es son el los las una y o del al que si con por para en igual vale así porque pero".split()
-)
 _HANGING = re.compile(r"(?:[=+*/,:;(^_&<>≤≥≈·×÷\-−]|\\(?:frac|sqrt|cdot|times|pm|left|d?frac\{[^{}]*\}|sqrt\[[^\]]*\])|\\[a-z]*)\s*$|等于\s*$|是\s*$|为\s*$")
 _NOTHING = re.compile(r"\b(?:no|not|none|never|nobody|kein\w*|nicht|aucun\w*|pas|ningun\w*|ningún|no existe\w*)\b|无解|不存在", re.I)
 
@@ -185,7 +178,7 @@ def is_cut_answer(text: str) -> bool:
     if terminated(bare):
         return False
     own = re.findall(r"[^\W\d_]+", re.sub(r"\\[a-zA-Z]+", " ", bare))
-    if own and own[-1].lower() in _DANGLING and (len(own) > 1 and len(own[-1]) > 1):
+    if own and own[-1].lower() in DANGLING and (len(own) > 1 and len(own[-1]) > 1):
         return True
     if re.search(r"[぀-ヿ一-鿿]", bare):
         return False

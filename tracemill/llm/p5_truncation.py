@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.endings import concluded, open_structures, terminated, without_mark, without_tags
+from tracemill.llm.endings import concluded, labelled_word, loose, open_structures, terminated, without_mark, without_tags
 from tracemill.llm.p2_repetition import generations
 from tracemill.sources.stage import staged
 
@@ -63,11 +63,12 @@ def trie(words: DataFrame) -> DataFrame:
 
 
 def endings(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """How each text ends: ``keys``, ``length`` (without a mark of a cut), ``marked``, ``closed``, ``ended``, ``result``, ``last``.
+    """How each text ends: ``keys``, ``length`` (without a mark of a cut), ``marked``, ``closed``, ``ended``, ``result``, ``worded``, ``loose``, ``last``.
 
     ``closed``: no formula, bracket or fence is open in the last paragraph;
     ``ended``: the last sentence has its end; ``result``: the text ends with
-    its conclusion; ``last``: the letters at the very end, in lower case.
+    its conclusion; ``worded``: a labelled one that ends in a word; ``loose``:
+    the text may end without the end of a sentence; ``last``: the letters at the very end, in lower case.
     Null and blank texts are left out.
     """
 
@@ -82,14 +83,17 @@ def endings(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFr
                 tail = inner[inner.rfind("\n\n") + 1 :]
                 closed = not [s for s in open_structures(tail) if s[0] != "<"]
                 rows.append(i)
-                out.append((len(bare) if marked else len(text), marked, closed, terminated(inner), concluded(inner), last_letters(bare).lower()))
-            cols = list(zip(*out, strict=True)) or [[]] * 6
-            made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()), strict=True)]
+                ended, result, last = terminated(inner), concluded(inner), last_letters(bare).lower()
+                worded = result and last != "" and labelled_word(inner)
+                free = not ended and (worded or not result) and loose(inner)
+                out.append((len(bare) if marked else len(text), marked, closed, ended, result, worded, free, last))
+            cols = list(zip(*out, strict=True)) or [[]] * 8
+            made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.bool_()] * 6, pa.string()), strict=True)]
             kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keys, "length", "marked", "closed", "ended", "result", "last"])
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keys, "length", "marked", "closed", "ended", "result", "worded", "loose", "last"])
 
     kinds = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys)
-    return texts.select(*keys, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, length bigint, marked boolean, closed boolean, ended boolean, result boolean, last string")
+    return texts.select(*keys, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, length bigint, marked boolean, closed boolean, ended boolean, result boolean, worded boolean, loose boolean, last string")
 
 
 def length_limits(lengths: DataFrame, width: int = 64, least: int = 4, times: float = 8.0) -> DataFrame:
@@ -112,32 +116,39 @@ def evidence() -> Column:
         + F.when(~F.col("closed"), 2).otherwise(0)
         + F.when(F.col("prefix"), 2).otherwise(0)
         + F.when(F.col("at_limit"), 1).otherwise(0)
-        + F.when(~F.col("ended"), 2).otherwise(-1)
+        + F.when(F.col("ended"), -1).when(F.col("loose"), 1).otherwise(2)
     )
 
 
 def truncation(problems: DataFrame) -> DataFrame:
     """``row_id, gen_pos, source, cut`` and the evidence for every generation that isn't null or blank.
 
-    A generation whose conclusion stands at its end is never cut, whatever its
-    length or flag. Otherwise the signs are weighed: a mark of the cut, an
-    open formula or bracket, a last word that is unknown but a proper prefix
-    of known words (or rarer by far than the words it begins), a length at
-    which many texts stop, a last sentence without its end.
+    A generation whose conclusion stands at its end is not cut, whatever its
+    length or flag, unless the conclusion is a labelled word that the trie
+    knows as a beginning only. Otherwise the signs are weighed: a mark of the
+    cut, an open formula or bracket, a last word that is unknown but a proper
+    prefix of known words (or rarer by far than the words it begins), a length
+    at which many texts stop, a last sentence without its end. In a list,
+    under a heading or in a text without sentence ends the last says little,
+    so the trie or the length decides.
     """
     spread = generations(problems, "row_id", "source")
     ends = staged(endings(spread, ["row_id", "gen_pos", "source"]), "endings")
     words = vocabulary(spread.select("text"))
-    last = ends.filter(~F.col("result") & (F.col("last") != "")).select("last").distinct()
+    asked = ends.filter((~F.col("result") | F.col("worded")) & (F.col("last") != ""))
+    # texts of different lengths that conclude with the same word: it is one, though the vocabulary leaves out last words
+    last = asked.groupBy("last").agg(F.countDistinct(F.when(F.col("worded"), F.col("length"))).alias("ways"))
     # only the words of nodes that are asked for go through the joins: vocabulary and trie keep their hash partitioning
     words = staged(words, "vocabulary")
     known = last.join(words.select(F.col("word").alias("last"), "n"), "last", "left").join(trie(words).select(F.col("node").alias("last"), "below"), "last", "left")
     seen, below = F.coalesce("n", F.lit(0)), F.coalesce("below", F.lit(0))
-    judged = known.select("last", ((below > 0) & (seen * 20 < below)).alias("prefix"))
+    begun = (seen == 0) & (below > 0)
+    judged = known.select("last", ((below > 0) & (seen * 20 < below)).alias("prefix"), begun.alias("begun"), (begun & (F.col("ways") < 2) & (F.length("last") > 2)).alias("broken"))
     limits = length_limits(ends).withColumn("at_limit", F.lit(True))
     no = F.lit(False)
-    joined = ends.join(judged, "last", "left").join(limits, "length", "left").withColumns({"prefix": F.coalesce("prefix", no), "at_limit": F.coalesce("at_limit", no)})
-    weight = F.when(F.col("result"), 0).otherwise(evidence())
+    joined = ends.join(judged, "last", "left").join(limits, "length", "left").withColumns({c: F.coalesce(c, no) for c in ("prefix", "begun", "broken", "at_limit")})
+    overruled = F.col("worded") & (F.col("broken") | (F.col("begun") & F.col("at_limit")))
+    weight = F.when(F.col("result") & ~overruled, 0).otherwise(evidence())
     return joined.select("row_id", "gen_pos", "source", "length", "marked", "closed", "ended", "result", "prefix", "at_limit", (weight >= 2).alias("cut"))
 
 
