@@ -91,6 +91,24 @@ def test_many_leaves_of_one_component_are_all_compared():
     assert all((ring[group == g] @ ring[group == g].T).min() >= 0.95 - 1e-6 for g in np.unique(group))
 
 
+def test_large_components_keep_the_cosine(spark):
+    """A fan of rows, each near the next: as one component of more than ``EXACT_ROWS`` rows its groups hold the cosine like small ones."""
+    rng = np.random.default_rng(12)
+    turn = rng.uniform(0, 1.2, 3000)
+    fan = np.stack([np.cos(turn), np.sin(turn), *[np.zeros(3000)] * 30], 1)
+    c, d = unit(rng.normal(size=(2, 32)))
+    wide = [c + rng.normal(size=32) * 0.021 for _ in range(1500)] + [d + rng.normal(size=32) * 0.012 for _ in range(300)]
+    vectors = unit(np.concatenate([fan, wide]))
+    groups = {}
+    for r in similar_groups(scored(spark, vectors)).collect():
+        groups.setdefault(r["rep_id"], []).append(r["member_id"])
+    members = [i for g in groups.values() for i in g]
+    assert len(members) == len(set(members)) and all(k == min(g) for k, g in groups.items())
+    assert all((vectors[g] @ vectors[g].T).min() >= 0.95 - 1e-5 for g in groups.values())
+    assert len([i for i in members if i < 3000]) >= 2990 and len([g for g in groups.values() if min(g) < 3000]) <= 12
+    assert max(len(g) for g in groups.values() if 3000 <= min(g) < 4500) >= 1300 and sum(min(g) >= 4500 for g in groups.values()) == 1
+
+
 def test_profiles(spark):
     c = np.eye(32)[0]
     vectors = [c + np.eye(32)[1] * 0.2, c, c + np.eye(32)[2] * 0.1, np.eye(32)[5]]
