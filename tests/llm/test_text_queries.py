@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tracemill.llm.bpe import ByteBPE, RankQueue, vocabulary_path
-from tracemill.llm.endings import concluded, open_structures, terminated, without_mark
+from tracemill.llm.endings import concluded, open_at_end, open_structures, terminated, without_mark
 from tracemill.llm.p2_repetition import repeated_generations, repetition_measures
-from tracemill.llm.p4_pairs import defect, defects, language, tiles
+from tracemill.llm.p4_pairs import defect, defects, is_cut_output, language, tiles
 from tracemill.llm.p5_truncation import cut_generations, length_limits, trie, truncation_rates, vocabulary
 from tracemill.llm.p6_leaks import leaked_items, searchers, words
 from tracemill.llm.p8_encode import encode_corpus
@@ -107,6 +107,19 @@ def test_open_structures():
     assert open_structures("``` ( $ ```") == [] and open_structures(") ] }") == [] and open_structures("\\{ \\$") == []
 
 
+def test_structures_over_paragraphs():
+    open_ = ["We run this code.\n\n```\nx = 1.\n\nThen we print it all and see what it is.", "See \\begin{align} x\n\nand y is the last of the values that we need.", "See $$ x = 1.\n\nThe rest of it is the same as it was before.", "We need two facts in all.\n1. The sum is 4.\n2.", "They say: “the sum of all of the columns is even."]
+    whole = ["It costs $5 a day.\n\nSo $x = 3$ is the number of days that we have.", "```\nx = (1\n\ny = 2\n```", "The value lies in [0, 1) and is less than any of the others.", "Er sagt: „Die Summe ist gleich vier“ und geht dann wieder.", "A list (of\n\nvalues that is followed by a text of its own.", "The number of all the days is\n12."]
+    assert all(map(open_at_end, open_)) and not any(map(open_at_end, whole))
+    assert all(map(is_cut_output, open_)) and not any(map(is_cut_output, [w for w in whole if w[0] != "`"]))
+
+
+def test_open_markup_is_evidence(spark):
+    plain = "first the remainder of the sum\nthen the total of the columns\nand the columns give the total"
+    df = spark.createDataFrame([(1, "s", [plain, f"<think>\n{plain}", f"<think>\n{plain}\n</think>", f"<think>\n{plain}."])], "row_id bigint, source string, generations array<string>")
+    assert [r["gen_pos"] for r in cut_generations(df).collect()] == [1]
+
+
 def test_marks_and_conclusions():
     assert without_mark("half a wor [cut]") == ("half a wor", True) and without_mark("so on…") == ("so on", True) and without_mark("done.") == ("done.", False)
     assert terminated('He said "so."') and not terminated("and then") and not terminated("")

@@ -5,12 +5,16 @@ from __future__ import annotations
 import re
 
 #: Closers by opener.
-_PAIRS = {"(": ")", "[": "]", "{": "}"}
-_CLOSERS = {")": "(", "]": "[", "}": "{"}
+_PAIRS = {"(": ")", "[": "]", "{": "}", "“": "”", "„": "”", "「": "」", "『": "』"}
+_CLOSERS = {v: k for k, v in _PAIRS.items()} | {"”": "“"}
+#: An interval may be open on one side.
+_INTERVAL = {")": "[", "]": "("}
 #: What ends a sentence, and what may follow it.
 TERMINAL = ".!?。！？…"
 AFTER = "\"'”’»)]}*_`"
-_TOKENS = re.compile(r"```|\$\$|\\[\[\]()]|\\begin\{(\w+\*?)\}|\\end\{(\w+\*?)\}|\\.|[$(){}\[\]]|</?(\w+)>")
+_TOKENS = re.compile(r"```|\$\$|\\[\[\]()]|\\begin\{(\w+\*?)\}|\\end\{(\w+\*?)\}|\\.|[$(){}\[\]“”„「」『』]|</?(\w+)>")
+#: What a blank line doesn't end.
+_SPANNING = re.compile(r"```|\$\$|\\[\[\]]|\\begin\{(\w+\*?)\}|\\end\{(\w+\*?)\}|\\.|</?(\w+)>")
 _MARK = re.compile(r"\s*(?:\[\s*(?:cut|cut off|truncated|snip|\.\.\.|…)\s*\]|\(\s*(?:cut|truncated)\s*\)|<\s*(?:cut|truncated)\s*/?>|…|\.\.\.+)\s*$", re.I)
 _TAGS = re.compile(r"</?[a-zA-Z]\w*>\s*$")
 #: Words that announce a result, by language.
@@ -37,15 +41,16 @@ _ENDED = re.compile(rf"[{TERMINAL}][{re.escape(AFTER)}$]*(?:\s|$)|[。！？]")
 _STYLE_WORDS = 40
 
 
-def open_structures(text: str) -> list[str]:
-    """The brackets, formulas, fences, environments and tags that are still open at the end.
+def open_structures(text: str, before: list[str] | None = None, tokens: re.Pattern = _TOKENS) -> list[str]:
+    """The brackets, quotations, formulas, fences, environments and tags that are still open at the end; ``before``: those open at the beginning.
 
     A closer without its opener is ignored; inside a formula or a fence, what
     opened before it stays on the stack. ``\\(`` and ``\\[`` are formulas,
-    other escaped characters stand for themselves.
+    other escaped characters stand for themselves. ``[0, 1)`` is closed, and a
+    German quotation by the mark that opens an English one.
     """
-    stack: list[str] = []
-    for m in _TOKENS.finditer(text):
+    stack: list[str] = list(before or ())
+    for m in tokens.finditer(text):
         t = m.group()
         if stack and stack[-1] == "```" and t != "```":
             continue
@@ -75,8 +80,12 @@ def open_structures(text: str) -> list[str]:
             elif name in stack:
                 while stack.pop() != name:
                     pass
+        elif t == "“" and "„" in stack:
+            del stack[len(stack) - 1 - stack[::-1].index("„") :]
         elif t in _PAIRS:
             stack.append(t)
+        elif t in _INTERVAL and stack and stack[-1] == _INTERVAL[t] and _CLOSERS[t] not in stack:
+            stack.pop()
         elif t in _CLOSERS and _CLOSERS[t] in stack:
             opener = _CLOSERS[t]
             at = len(stack) - 1 - stack[::-1].index(opener)
@@ -85,6 +94,32 @@ def open_structures(text: str) -> list[str]:
     return stack
 
 
+def open_at_end(text: str) -> list[str]:
+    """What is open at the end of a text of several paragraphs.
+
+    Fences, displayed formulas, environments and tags from anywhere; brackets,
+    quotations and inline formulas end with their paragraph. ``item`` stands
+    for an empty last entry of a list.
+    """
+    at = text.rfind("\n\n") + 1
+    stack = open_structures(text[at:], open_structures(text[:at], tokens=_SPANNING))
+    return [*stack, "item"] if empty_item(text) else stack
+
+
+def open_tags(text: str) -> bool:
+    """Whether markup is open at the end."""
+    return any(s[0] == "<" for s in open_structures(text, tokens=_SPANNING))
+
+
+def empty_item(text: str) -> bool:
+    """Whether the text stops at the mark of a list entry that others come before."""
+    m = re.search(r"\n[ \t]*(?:(\d+)[.)]|[-*•])\s*$", text[-40:])
+    if not m:
+        return False
+    mark = rf"{int(m.group(1)) - 1}[.)]" if m.group(1) else re.escape(m.group().strip())
+    return re.search(rf"^[ \t]*{mark}[ \t]+\S", text, re.M) is not None
+
+
 def without_mark(text: str) -> tuple[str, bool]:
     """The text without a mark of a cut at its end, and whether there was one."""
     bare = text.rstrip()

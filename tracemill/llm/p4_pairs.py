@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.endings import DANGLING, concluded, open_structures, terminated, without_mark, without_tags
+from tracemill.llm.endings import DANGLING, concluded, open_at_end, open_structures, terminated, without_mark, without_tags
 
 DEFECTS = ("empty_answer", "refusal", "copied_question", "truncated", "wrong_language")
 
@@ -193,8 +193,7 @@ def is_cut_output(text: str) -> bool:
         return False
     if marked and not terminated(inner):
         return True
-    tail = inner[inner.rfind("\n\n") + 1 :]
-    if [s for s in open_structures(tail) if s[0] != "<"]:
+    if [s for s in open_at_end(inner) if s[0] != "<"]:
         return True
     if len(tokens(inner)) <= 6:
         return is_cut_answer(inner)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.endings import concluded, labelled_word, loose, open_structures, terminated, without_mark, without_tags
+from tracemill.llm.endings import concluded, labelled_word, loose, open_at_end, open_tags, terminated, without_mark, without_tags
 from tracemill.llm.p2_repetition import generations
 from tracemill.sources.stage import staged
 
@@ -63,9 +63,10 @@ def trie(words: DataFrame) -> DataFrame:
 
 
 def endings(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """How each text ends: ``keys``, ``length`` (without a mark of a cut), ``marked``, ``closed``, ``ended``, ``result``, ``worded``, ``loose``, ``last``.
+    """How each text ends: ``keys``, ``length`` (without a mark of a cut), ``marked``, ``closed``, ``tagged``, ``ended``, ``result``, ``worded``, ``loose``, ``last``.
 
-    ``closed``: no formula, bracket or fence is open in the last paragraph;
+    ``closed``: no formula, bracket, quotation, fence, environment or list
+    entry is open; ``tagged``: markup is open;
     ``ended``: the last sentence has its end; ``result``: the text ends with
     its conclusion; ``worded``: a labelled one that ends in a word; ``loose``:
     the text may end without the end of a sentence; ``last``: the letters at the very end, in lower case.
@@ -80,20 +81,21 @@ def endings(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFr
                     continue
                 bare, marked = without_mark(text)
                 inner = without_tags(bare)
-                tail = inner[inner.rfind("\n\n") + 1 :]
-                closed = not [s for s in open_structures(tail) if s[0] != "<"]
+                left = open_at_end(inner)
+                tagged = any(s[0] == "<" for s in left) and open_tags(bare)
+                closed = not [s for s in left if s[0] != "<"]
                 rows.append(i)
                 ended, result, last = terminated(inner), concluded(inner), last_letters(bare).lower()
                 worded = result and last != "" and labelled_word(inner)
                 free = not ended and (worded or not result) and loose(inner)
-                out.append((len(bare) if marked else len(text), marked, closed, ended, result, worded, free, last))
-            cols = list(zip(*out, strict=True)) or [[]] * 8
-            made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.bool_()] * 6, pa.string()), strict=True)]
+                out.append((len(bare) if marked else len(text), marked, closed, tagged, ended, result, worded, free, last))
+            cols = list(zip(*out, strict=True)) or [[]] * 9
+            made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.bool_()] * 7, pa.string()), strict=True)]
             kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keys, "length", "marked", "closed", "ended", "result", "worded", "loose", "last"])
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keys, "length", "marked", "closed", "tagged", "ended", "result", "worded", "loose", "last"])
 
     kinds = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys)
-    return texts.select(*keys, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, length bigint, marked boolean, closed boolean, ended boolean, result boolean, worded boolean, loose boolean, last string")
+    return texts.select(*keys, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, length bigint, marked boolean, closed boolean, tagged boolean, ended boolean, result boolean, worded boolean, loose boolean, last string")
 
 
 def length_limits(lengths: DataFrame, width: int = 64, least: int = 4, times: float = 8.0) -> DataFrame:
@@ -114,6 +116,7 @@ def evidence() -> Column:
     return (
         F.when(F.col("marked"), 3).otherwise(0)
         + F.when(~F.col("closed"), 2).otherwise(0)
+        + F.when(F.col("tagged"), 1).otherwise(0)
         + F.when(F.col("prefix"), 2).otherwise(0)
         + F.when(F.col("at_limit"), 1).otherwise(0)
         + F.when(F.col("ended"), -1).when(F.col("loose"), 1).otherwise(2)
@@ -126,7 +129,7 @@ def truncation(problems: DataFrame) -> DataFrame:
     A generation whose conclusion stands at its end is not cut, whatever its
     length or flag, unless the conclusion is a labelled word that the trie
     knows as a beginning only. Otherwise the signs are weighed: a mark of the
-    cut, an open formula or bracket, a last word that is unknown but a proper
+    cut, an open formula or bracket, open markup, a last word that is unknown but a proper
     prefix of known words (or rarer by far than the words it begins), a length
     at which many texts stop, a last sentence without its end. In a list,
     under a heading or in a text without sentence ends the last says little,
