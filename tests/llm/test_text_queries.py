@@ -114,6 +114,13 @@ def test_structures_over_paragraphs():
     assert all(map(is_cut_output, open_)) and not any(map(is_cut_output, [w for w in whole if w[0] != "`"]))
 
 
+def test_an_open_structure_decides_before_a_full_stop(spark):
+    texts = ["The sum is 4. Then we know that $x = 0.", "The sum is 4. Then we know (see the list at no.", "The sum is 4. Then we know that $x = 0$.", "The sum is 4.\n\n```\nx = 0."]
+    df = spark.createDataFrame([(1, "s", texts)], "row_id bigint, source string, generations array<string>")
+    assert sorted(r["gen_pos"] for r in cut_generations(df).collect()) == [0, 1, 3]
+    assert [is_cut_output(t) for t in texts] == [True, True, False, True]
+
+
 def test_open_markup_is_evidence(spark):
     plain = "first the remainder of the sum\nthen the total of the columns\nand the columns give the total"
     df = spark.createDataFrame([(1, "s", [plain, f"<think>\n{plain}", f"<think>\n{plain}\n</think>", f"<think>\n{plain}."])], "row_id bigint, source string, generations array<string>")

@@ -112,10 +112,10 @@ def length_limits(lengths: DataFrame, width: int = 64, least: int = 4, times: fl
 
 
 def evidence() -> Column:
-    """Weights of the signs of a cut; 2 and more is a cut."""
+    """Weights of the signs of a cut; 2 and more is a cut. A mark and an open structure decide by themselves, even before a full stop."""
     return (
         F.when(F.col("marked"), 3).otherwise(0)
-        + F.when(~F.col("closed"), 2).otherwise(0)
+        + F.when(~F.col("closed"), 3).otherwise(0)
         + F.when(F.col("tagged"), 1).otherwise(0)
         + F.when(F.col("prefix"), 2).otherwise(0)
         + F.when(F.col("at_limit"), 1).otherwise(0)
