@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from tracemill.llm.bpe import ByteBPE, RankQueue, vocabulary_path
 from tracemill.llm.endings import concluded, open_at_end, open_structures, terminated, without_mark
 from tracemill.llm.p2_repetition import repeated_generations, repetition_measures
-from tracemill.llm.p4_pairs import defect, defects, is_cut_output, language, tiles
+from tracemill.llm.p4_pairs import defect, defects, is_copy, is_cut_output, language, tiles
 from tracemill.llm.p5_truncation import cut_generations, length_limits, trie, truncation_rates, vocabulary
 from tracemill.llm.p6_leaks import leaked_items, searchers, words
 from tracemill.llm.p8_encode import encode_corpus
@@ -81,6 +81,12 @@ def test_defects(text, short, expected):
     assert defect(text, ASK, short) == expected
 
 
+def test_short_and_repeated_copies():
+    copies = [("Compute 3+4", "Compute 3+4"), ("compute 3 + 4.", "Compute 3+4"), ("<think>\nCompute 3+4\n</think>\n\nCompute 3+4", "Compute 3+4"), ("\n\n".join([ASK] * 9), ASK), (" ".join([ASK.replace("leak", "given")] * 400), ASK)]
+    assert [defect(text, ask, False) for text, ask in copies] == ["copied_question"] * 5
+    assert not any(is_copy(text, ask) for text, ask in [("7", "Compute 3+4"), ("Compute 3-4", "Compute 3+4"), ("4", "4x"), ("x", " "), ("$", "7"), ("7", "<think>"), ("<think>", "7"), (f"{ASK} {SOLVED} " * 9, ASK)])
+
+
 def test_defects_need_an_instruction():
     assert defect("La réponse est \\boxed{2}.", None, False) is None
     assert defect("La réponse est \\boxed{2}.", " ", False) is None

@@ -38,6 +38,7 @@ def is_empty(text: str | None) -> bool:
 # --- words and sentences -------------------------------------------------------
 
 _TOKENS = re.compile(r"[぀-ヿ一-鿿]|[^\W_぀-ヿ一-鿿]+")
+_SIGNED = re.compile(r"[^\W_]+|[-+*/=<>^|!%\\√−×÷·]")
 _SENTENCES = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\n+")
 _THINK = re.compile(r"</?think(?:ing)?>", re.I)
 
@@ -84,15 +85,39 @@ def tiles(text: list[str], pattern: list[str], least: int = 3) -> list[bool]:
             return taken
 
 
+def covered(text: list[str], pattern: list[str], least: int = 3) -> list[bool]:
+    """Which tokens of ``text`` lie in a stretch shared with ``pattern``: from left to right, the longest at each place."""
+    taken = [False] * len(text)
+    at: dict[tuple[str, ...], list[int]] = defaultdict(list)
+    for j in range(len(pattern) - least + 1):
+        at[tuple(pattern[j : j + least])].append(j)
+    i = 0
+    while i < len(text):
+        best = 0
+        for j in at.get(tuple(text[i : i + least]), ()):
+            k = least
+            while i + k < len(text) and j + k < len(pattern) and text[i + k] == pattern[j + k]:
+                k += 1
+            best = max(best, k)
+        taken[i : i + best] = [True] * best
+        i += best or 1
+    return taken
+
+
 def is_copy(text: str, instruction: str, share: float = 0.75) -> bool:
     """Whether the text is the instruction again, framed or slightly changed, and nothing else."""
     own, asked = tokens(text), tokens(instruction)
-    if len(own) < 4 or len(asked) < 4 or len(own) > 3 * len(asked) + 12:
+    if not own or not asked:
         return False
+    if len(own) < 4 or len(asked) < 4:
+        # too short for tiles: the instruction once or more and nothing else, its signs included
+        own, asked = (_SIGNED.findall(_THINK.sub(" ", t.casefold())) for t in (text, instruction))
+        return bool(own and asked) and own == asked * (len(own) // len(asked))
     known = set(asked)
     if sum(t in known for t in own) < share * len(own):
         return False
-    taken = tiles(own, asked)
+    # many repeats are covered from left to right, in linear time
+    taken = tiles(own, asked) if len(own) <= 3 * len(asked) + 12 else covered(own, asked)
     free = [t for t, x in zip(own, taken, strict=True) if not x]
     new = [t for t in free if t not in known]
     return sum(taken) >= share * len(own) and len(free) <= max(4, len(own) // 4) and not (new and new[-1] == own[-1] and new[-1].isdigit())
