@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracemill.llm import queries
 from tracemill.llm.oracle import ORACLE
 from tracemill.llm.p1_top_n import top_traces
-from tracemill.llm.p7_fusion import best_of_batch, fused
+from tracemill.llm.p7_fusion import best_of_batch, fused, fusion_of
 from tracemill.operators.ranking import ranked
 
 SCHEMA = "score_id bigint, trace_id string, status string, problem_difficulty string, winner_score double, IFD_Score double, global_score double, _cluster int, output_chars bigint, judge_batch string, embedding array<float>, scored_at timestamp"
@@ -87,13 +87,21 @@ def test_fusion_against_brute_force(spark):
     for b, own in batches.items():
         scores = [[r[4] if finite(r[4]) else float("-inf") for r in own], [r[5] if finite(r[5]) else float("-inf") for r in own], [level.get(r[3], float("-inf")) for r in own]]
         for i, r in enumerate(own):
-            expected[b, r[0]] = round(sum(1 / (60 + 1 + sum(x > s[i] for x in s)) for s in scores), 12)
+            first, second, third = sorted(1 + sum(x > s[i] for x in s) for s in scores)
+            expected[b, r[0]] = 1.0 / (60 + first) + 1.0 / (60 + second) + 1.0 / (60 + third)
     df = spark.createDataFrame(data, SCHEMA).repartition(4)
-    assert {(r["judge_batch"], r["score_id"]): r["fusion"] for r in fused(df).collect()} == pytest.approx(expected, abs=1e-11)
+    assert {(r["judge_batch"], r["score_id"]): r["fusion"] for r in fused(df).collect()} == expected
     best = {r["judge_batch"]: r["score_id"] for r in best_of_batch(df).collect()}
     assert best == {b: min((-expected[b, r[0]], r[0]) for r in own)[1] for b, own in batches.items()}
 
 
+def test_far_ranks_stay_apart(spark):
+    """Neighbouring ranks of a batch of millions have different sums, and the same ranks the same sum in any order."""
+    rows = spark.createDataFrame([([1, 5, 2_000_000],), ([1, 5, 2_000_001],), ([1, 5, 2_000_002],)], "r array<int>")
+    sums = [x[0] for x in rows.select(fusion_of(F.col("r"))).collect()]
+    assert sums[0] > sums[1] > sums[2]
+
+
 @pytest.mark.parametrize("parts", [1, 3, 16])
 def test_ranks_across_partitions(spark, parts):
     rng = random.Random(3)

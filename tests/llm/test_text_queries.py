@@ -12,7 +12,7 @@ from tracemill.llm.p4_pairs import defect, defects, is_copy, is_cut_output, lang
 from tracemill.llm.p5_truncation import cut_generations, length_limits, trie, truncation_rates, vocabulary
 from tracemill.llm.p6_leaks import leaked_items, searchers, words
 from tracemill.llm.p8_encode import encode_corpus
-from tracemill.llm.p9_mix import mix, mix_plan, reached_shares, unreachable
+from tracemill.llm.p9_mix import document_tokens, mix, mix_plan, reached_shares, unreachable
 
 # --- repetition --------------------------------------------------------------------
 
@@ -244,6 +244,14 @@ def test_caches_stay_bounded():
     assert len(bpe._pieces) <= 52 and len(bpe._pretokens) <= 52
 
 
+def test_long_pieces_are_not_kept(public):
+    bpe = ByteBPE(vocabulary_path())
+    text = "x" * 100 + " " + "ab" * 500_000 + " end"
+    ids = bpe.encode(text)
+    assert ids == public.encode(text, add_special_tokens=False).ids and bpe.count(text) == len(ids)
+    assert max(map(len, [*bpe._pieces, *bpe._pretokens, *bpe._lengths])) <= 64
+
+
 def test_encode_corpus(spark):
     df = spark.createDataFrame([(1, "the cat", "x"), (2, None, "x"), (3, "", "x"), (None, "a", "x"), (1, "the cat", "x")], "doc_id bigint, text string, ids string")
     got = encode_corpus(df)
@@ -254,16 +262,22 @@ def test_encode_corpus(spark):
 # --- mixing ---------------------------------------------------------------------------------
 
 
+def test_shares_count_each_document_once(spark):
+    docs = spark.createDataFrame([(1, "a b", "s"), (2, "c", "t")], "doc_id bigint, text string, source string")
+    shares = reached_shares(docs, spark.createDataFrame([("s", 0.5, 1), ("t", 0.5, 1)], "source string, target_share double, max_repeats int"))
+    assert "Python" not in shares._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mix_reaches_the_shares(spark):
     docs = [(i, "word " * 10, "big") for i in range(2000)] + [(5000 + i, "word " * 10, "small") for i in range(200)] + [(9000 + i, "word " * 10, "tiny") for i in range(10)] + [(1, "word", None), (2, None, "big"), (3, "word " * 10, "other")]
     docs = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
     targets = spark.createDataFrame([("big", 0.6, 1), ("small", 0.2, 3), ("tiny", 0.1, 2), ("none", 0.1, 5), (None, 0.0, 1)], "source string, target_share double, max_repeats int")
     assert sorted(r["source"] for r in unreachable(docs, targets).collect()) == ["none", "tiny"]
-    plan = {r["source"]: r for r in mix_plan(docs, targets).collect()}
+    plan = {r["source"]: r for r in mix_plan(document_tokens(docs, targets), targets).collect()}
     assert plan["small"]["rate"] == pytest.approx(2.21, abs=0.02) and plan["tiny"]["rate"] == 2.0 and plan["none"]["tokens"] == 0
-    drawn = mix(docs, mix_plan(docs, targets))
+    drawn = mix(docs, mix_plan(document_tokens(docs, targets), targets))
     copies = {r["source"]: r["n"] for r in drawn.groupBy("source").agg(F.count("*").alias("n")).collect()}
     assert copies["tiny"] == 20 and copies["small"] == pytest.approx(442, rel=0.06) and copies["big"] == pytest.approx(1326, rel=0.06) and set(copies) == {"big", "small", "tiny"}
-    assert drawn.collect().sort() == mix(docs.repartition(7), mix_plan(docs, targets)).collect().sort()
+    assert drawn.collect().sort() == mix(docs.repartition(7), mix_plan(document_tokens(docs, targets), targets)).collect().sort()
     shares = {r["source"]: r["mixed_share"] for r in reached_shares(docs, targets).collect()}
     assert sum(shares.values()) == pytest.approx(1.0) and shares["none"] == 0.0

@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -25,6 +26,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Fixed value: the pre-token pattern of the public byte-level vocabulary.
 _PRETOKENS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+#: Longer pieces are not kept, so the cache is bounded in bytes as well as in entries.
+_LONG = 64
 _WORD = 64
 _MASK = _WORD - 1
 
@@ -132,27 +135,30 @@ class ByteBPE:
             ids = known.get(pretoken)
             if ids is None:
                 ids = tuple(self.merge(pretoken.encode("utf-8", "surrogatepass")))
-                if len(pretoken) <= 64:
+                if len(pretoken) <= _LONG:
                     if len(known) >= self.cache_entries:
                         known.clear()
                     known[pretoken] = ids
             out.extend(ids)
         return tuple(out)
 
-    def _known(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
-        known = self._pieces
+    def _learn(self, pieces: list[str], known: dict, value: Callable) -> list[str]:
+        """Put the new pieces into a cache of bounded size; the long ones among them are returned, to be taken out again."""
         if len(known) >= self.cache_entries:
             known.clear()
-        for piece in set(pieces).difference(known):
-            known[piece] = self._piece(piece)
-        return known
+        new = set(pieces).difference(known)
+        for piece in new:
+            known[piece] = value(piece)
+        return [piece for piece in new if len(piece) > _LONG]
 
     def encode_into(self, text: str | None, out: array) -> None:
         """Append the ids of ``text`` to ``out``; nothing for a null or empty text."""
         if text:
-            pieces = _PIECES.findall(text)
-            known = self._known(pieces)
+            pieces, known = _PIECES.findall(text), self._pieces
+            long = self._learn(pieces, known, self._piece)
             out.extend(chain.from_iterable(map(known.__getitem__, pieces)))
+            for piece in long:
+                del known[piece]
 
     def encode(self, text: str | None) -> list[int]:
         out = array("i")
@@ -163,14 +169,12 @@ class ByteBPE:
         """The number of ids of ``text``."""
         if not text:
             return 0
-        pieces = _PIECES.findall(text)
-        lengths = self._lengths
-        if len(lengths) >= self.cache_entries:
-            lengths.clear()
-        new = set(pieces).difference(lengths)
-        for piece in new:
-            lengths[piece] = len(self._piece(piece))
-        return sum(map(lengths.__getitem__, pieces))
+        pieces, lengths = _PIECES.findall(text), self._lengths
+        long = self._learn(pieces, lengths, lambda piece: len(self._piece(piece)))
+        n = sum(map(lengths.__getitem__, pieces))
+        for piece in long:
+            del lengths[piece]
+        return n
 
 
 @lru_cache(maxsize=2)

@@ -20,8 +20,8 @@ v AS (SELECT judge_batch, score_id,
 r AS (SELECT judge_batch, score_id,
     rank() OVER (PARTITION BY judge_batch ORDER BY a DESC) AS ra, rank() OVER (PARTITION BY judge_batch ORDER BY b DESC) AS rb,
     rank() OVER (PARTITION BY judge_batch ORDER BY c DESC) AS rc FROM v),
-f AS (SELECT judge_batch, score_id,
-    round(CAST(1 AS DOUBLE) / (60 + ra) + CAST(1 AS DOUBLE) / (60 + rb) + CAST(1 AS DOUBLE) / (60 + rc), 12) AS fusion FROM r)
+o AS (SELECT judge_batch, score_id, list_sort([ra, rb, rc]) AS l FROM r),
+f AS (SELECT judge_batch, score_id, CAST(1 AS DOUBLE) / (60 + l[1]) + CAST(1 AS DOUBLE) / (60 + l[2]) + CAST(1 AS DOUBLE) / (60 + l[3]) AS fusion FROM o)
 """
 
 P7_FUSION = _FUSED + "SELECT judge_batch, score_id, fusion FROM f"

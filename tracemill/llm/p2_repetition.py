@@ -26,17 +26,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def _classes() -> tuple[np.ndarray, np.ndarray]:
     """Per code point: whether it belongs to a word, and a random value that lower and upper case share."""
     points = np.arange(_POINTS, dtype=np.uint32)
-    alnum = np.zeros(_POINTS, dtype=bool)
+    points[0xD800:0xE000] = 0
+    chars = points.view("<U1")
+    alnum = np.char.isalnum(chars)
     lower = points.copy()
-    for p in range(_POINTS):
-        if 0xD800 <= p < 0xE000:
-            continue
-        c = chr(p)
-        if c.isalnum():
-            alnum[p] = True
-            low = c.lower()
-            if len(low) == 1 and low != c:
-                lower[p] = ord(low)
+    cased = np.flatnonzero(alnum & (np.char.isupper(chars) | np.char.istitle(chars)))
+    low = [chr(p).lower() for p in cased.tolist()]
+    single = np.array([len(c) == 1 for c in low])
+    lower[cased[single]] = [ord(c) for c in low if len(c) == 1]
     return alnum, _mixed(lower.astype(np.uint64) * _ODD + np.uint64(1))
 
 

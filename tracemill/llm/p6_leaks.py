@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -73,6 +74,12 @@ def searchers(items: list[tuple[object, str | None]], span: int) -> list[WuManbe
     return [WuManber(patterns) for patterns in classes.values()]
 
 
+@lru_cache(maxsize=2)
+def _kept_searchers(items: tuple[tuple[object, str | None], ...], span: int) -> list[WuManber]:
+    """The search tables, built once per worker process and not for every task."""
+    return searchers(list(items), span)
+
+
 def leaked_items(
     corpus: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str = "item_id", item_text: str = "problem", span: int = 12, words_at_once: int = 2_000_000
 ) -> DataFrame:
@@ -101,7 +108,7 @@ def leaked_items(
 
 def _search(own: list, span: int, id_col: str, item_id: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = searchers(own, span)
+        tables = _kept_searchers(tuple(own), span)
         item_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
         for batch in batches:
             rows, hits = [], []

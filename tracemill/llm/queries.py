@@ -16,7 +16,7 @@ from tracemill.llm.p5_truncation import cut_generations, truncation_rates
 from tracemill.llm.p6_leaks import leak_report, leaked_items
 from tracemill.llm.p7_fusion import best_of_batch, fused
 from tracemill.llm.p8_encode import encode_corpus
-from tracemill.llm.p9_mix import mix, mix_plan, reached_shares, unreachable
+from tracemill.llm.p9_mix import document_tokens, mix, mix_plan, reached_shares, unreachable
 from tracemill.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,8 +87,8 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_mixed(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    return mix(docs, mix_plan(docs, table(spark, folder, "mix_targets")))
+    docs, targets = table(spark, folder, "documents"), table(spark, folder, "mix_targets")
+    return mix(docs, mix_plan(document_tokens(docs, targets), targets))
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
