@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tracemill.llm.p3_clusters import _components, _cones, _leaves, component_labels, group_profiles, near_traces, similar_groups, ward
-from tracemill.llm.p10_level import reading_levels, segments, top_level
+from tracemill.llm.p10_level import _prepared, fit, level_profile, reading_levels, segments, top_level
 
 SCORED = "score_id bigint, trace_id string, status string, scored_at timestamp, embedding array<float>"
 
@@ -179,3 +179,19 @@ def test_levels_without_labels(spark, corpus):
 def test_segments():
     words, sizes = segments("One two. Three\n四五六。" + "w " * 120, {})
     assert sizes[:3] == [2, 1, 2] and sum(sizes) == len(words) and max(sizes) <= 50
+
+
+def test_every_round_raises_the_likelihood(corpus):
+    docs, labels, *_ = corpus
+    history = []
+    own, labelled = _prepared(docs, labels, "doc_id", "text", ["doc_id"])
+    fit(own, labelled, 6, history)
+    assert 2 <= len(history) <= 5 and all(b >= a for a, b in zip(history, history[1:]))
+
+
+def test_repeated_rows_count_each_in_the_profile(spark, corpus):
+    docs, labels, *_ = corpus
+    own = docs.withColumn("source", (docs.doc_id % 3).cast("string"))
+    once = {(r["source"], r["reading_level"]): r["n"] for r in level_profile(own, labels).collect()}
+    twice = {(r["source"], r["reading_level"]): r["n"] for r in level_profile(own.unionByName(own), labels).collect()}
+    assert sum(once.values()) > 1000 and sum(twice.values()) == 2 * sum(once.values())

@@ -21,10 +21,12 @@ _WORD = re.compile(r"[^\W\d_]+")
 _CJK = re.compile(r"[㐀-鿿぀-ヿ]")
 #: A stretch without a sentence end is taken in parts of so many words.
 _PART = 25
-#: A labelled document counts as so many others; one without a label counts by the mean precision of its words above a floor, at most once.
-_LABEL_WEIGHT, _LEAST_PRECISION = 10.0, 0.3
-#: Prior of a word's spread: variance, and its weight in occurrences.
-_PRIOR_VARIANCE, _PRIOR_WEIGHT = 1.25, 3.0
+#: A labelled document counts as so many others.
+_LABEL_WEIGHT = 10.0
+#: Prior of a word's spread: its variance in parts of the spread of all levels, and its weight in occurrences.
+_PRIOR_VARIANCE, _PRIOR_WEIGHT = 1.0, 1.0
+#: The fit stops when a round raises the log-likelihood by less than this part of it, at the latest after so many rounds.
+_LEAST_GAIN, _ROUNDS = 0.01, 6
 
 
 def _buckets(word: str, known: dict[str, list[int]]) -> list[int]:
@@ -60,14 +62,14 @@ def segments(text: str, known: dict[str, list[int]]) -> tuple[list[int], list[in
     return out, sizes
 
 
-def bags(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id_col, words, sizes)`` of each text with at least one word."""
+def bags(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    """``keep``, ``words, sizes`` of each text with at least one word: the buckets in order, and the words of each sentence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
         for batch in batches:
             rows, words, sizes = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 if text:
                     own, n = segments(text, known)
                     if own:
@@ -79,39 +81,64 @@ def bags(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ends = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
                 return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
 
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), lists(words), lists(sizes)], names=[id_col, "words", "sizes"])
+            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, lists(words), lists(sizes)], names=[*keep, "words", "sizes"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, words array<int>, sizes array<int>")
+    kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, words array<int>, sizes array<int>")
 
 
 class Difficulty:
-    """Difficulty and precision of each bucket, and the scale of the levels."""
+    """Difficulty, slope and constant of each bucket under a population of levels N(mean, spread), and the scale of the levels.
 
-    def __init__(self, sums: np.ndarray, shift: float = 0.0, slope: float = 1.0) -> None:
+    A word of difficulty m and variance v speaks for a level by
+    ``sqrt(S / v) * exp(-a (level - m)^2 / 2)`` with the slope a = 1/v - 1/S,
+    S being the spread of all levels: the nearer, the likelier, and a word
+    that occurs at all levels alike says nothing.
+    """
+
+    def __init__(self, sums: np.ndarray, mean: float, spread: float, shift: float = 0.0, slope: float = 1.0) -> None:
         n, first, second = sums
-        total = n.sum()
-        mean = first.sum() / total if total else 0.0
-        spread = max(second.sum() / total - mean**2, 1e-3) if total else 1.0
         with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.where(n > 0, first / n, 0.0)
-            variance = np.where(n > 0, np.maximum(second / n - own**2, 0.0), 0.0)
-        variance = (n * variance + _PRIOR_WEIGHT * _PRIOR_VARIANCE) / (n + _PRIOR_WEIGHT)
-        self.mean = own.astype(np.float32)
-        # a word that occurs at all levels alike tells nothing
-        self.weight = np.where(n > 0, np.maximum(1.0 / variance - 1.0 / spread, 0.0), 0.0).astype(np.float32)
+            own = np.where(n > 0, first / n, mean)
+            variance = np.where(n > 0, np.maximum(second / n - own**2, 0.0), spread)
+        variance = np.minimum((n * variance + _PRIOR_WEIGHT * _PRIOR_VARIANCE * spread) / (n + _PRIOR_WEIGHT), spread)
+        self.mean, self.spread, self.variance = mean, spread, variance
+        self.difficulty = own.astype(np.float32)
+        self.weight = (1.0 / variance - 1.0 / spread).astype(np.float32)
+        self.constant = (0.5 * np.log(spread / variance) - 0.5 * self.weight * own**2).astype(np.float32)
         self.shift, self.slope = shift, slope
 
-    def levels(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The level of each stretch of words that ends at ``ends``, and the precision it has."""
-        weight = self.weight[words].astype(np.float64)
-        part = np.concatenate(([0.0], np.cumsum(weight * self.mean[words])))
-        total = np.concatenate(([0.0], np.cumsum(weight)))
+    def prior(self) -> float:
+        """The log of the prior of the variances."""
+        v = self.variance[self.variance < self.spread * (1 - 1e-9)]
+        top = np.log(self.spread) + _PRIOR_VARIANCE
+        return float(-0.5 * _PRIOR_WEIGHT * (np.log(v) + _PRIOR_VARIANCE * self.spread / v - top).sum())
+
+    def evidence(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each stretch of words that ends at ``ends``: the sums of slopes, of slopes by difficulty, and of constants."""
         starts = np.concatenate(([0], ends[:-1]))
-        w = total[ends] - total[starts]
+
+        def total(x: np.ndarray) -> np.ndarray:
+            run = np.concatenate(([0.0], np.cumsum(x, dtype=np.float64)))
+            return run[ends] - run[starts]
+
+        weight = self.weight[words]
+        return total(weight), total(weight * self.difficulty[words]), total(self.constant[words])
+
+    def posterior(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Mean and variance of each document's level given its words, and the log-likelihood of the words."""
+        a, c, k = self.evidence(words, ends)
+        precision, at = a + 1.0 / self.spread, c + self.mean / self.spread
+        likelihood = k - 0.5 * np.log(self.spread * precision) + 0.5 * at**2 / precision - 0.5 * self.mean**2 / self.spread
+        return at / precision, 1.0 / precision, likelihood
+
+    def levels(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The most likely level of each stretch of words that ends at ``ends``, on the scale of the labels, and the precision it has."""
+        a, c, _ = self.evidence(words, ends)
         with np.errstate(divide="ignore", invalid="ignore"):
-            level = np.where(w > 1e-6, (part[ends] - part[starts]) / w, np.nan)
-        return self.shift + self.slope * level, w
+            level = np.where(a > 1e-6, c / a, np.nan)
+        return self.shift + self.slope * level, a
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -119,35 +146,31 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
 
 
-def _word_sums(bags_: DataFrame, anchors: bool, model: Difficulty | None) -> np.ndarray:
-    """Per bucket the occurrences, their levels and squared levels; the level is the label's, or the one the model gives."""
+def _word_sums(bags_: DataFrame, model: Difficulty | None) -> tuple[np.ndarray, float]:
+    """Per bucket the occurrences, their expected levels and squared levels, and the log-likelihood; without a model by the labels in ``level``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, BUCKETS))
+        sums, gained = np.zeros((3, BUCKETS)), 0.0
         for batch in batches:
             words, ends = _flat(batch.column(0))
             sizes = np.diff(np.concatenate(([0], ends)))
-            if anchors:
-                level, weight = batch.column(1).to_numpy(zero_copy_only=False), np.full(len(sizes), _LABEL_WEIGHT)
+            if model is None:
+                level, variance = batch.column(1).to_numpy(zero_copy_only=False), np.zeros(len(sizes))
             else:
-                level, precision = model.levels(words, ends)
-                level, weight = np.clip(level, 0.5, 4.5), np.clip(precision / np.maximum(sizes, 1) - _LEAST_PRECISION, 0.0, 1.0)
-            each, weight = np.repeat(level, sizes), np.repeat(weight, sizes)
-            known = ~np.isnan(each) & (weight > 0)
-            words, each, weight = words[known], each[known], weight[known]
-            for i, value in enumerate((weight, weight * each, weight * each * each)):
-                sums[i] += np.bincount(words, value, BUCKETS)
+                level, variance, likelihood = model.posterior(words, ends)
+                gained += float(likelihood.sum())
+            for i, value in enumerate((np.ones(len(sizes)), level, variance + level**2)):
+                sums[i] += np.bincount(words, np.repeat(value, sizes), BUCKETS)
         at = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(s[at]) for s in sums]], names=["bucket", "n", "s1", "s2"])
+        made = [np.concatenate((s[at], [gained if i == 1 else 0.0])) for i, s in enumerate(sums)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), *map(pa.array, made)], names=["bucket", "n", "s1", "s2"])
 
-    columns = ["words", "level"] if anchors else ["words"]
-    rows = bags_.select(*columns).mapInArrow(run, "bucket int, n double, s1 double, s2 double")
-    table = rows.groupBy("bucket").agg(F.sum("n"), F.sum("s1"), F.sum("s2")).toArrow()  # at most BUCKETS rows
+    rows = bags_.select(*(["words", "level"] if model is None else ["words"])).mapInArrow(run, "bucket int, n double, s1 double, s2 double")
+    table = rows.groupBy("bucket").agg(F.sum("n"), F.sum("s1"), F.sum("s2")).toArrow()  # at most BUCKETS + 1 rows
+    at, (n, first, second) = table.column(0).to_numpy(), (table.column(i).to_numpy() for i in (1, 2, 3))
     sums = np.zeros((3, BUCKETS))
-    at = table.column(0).to_numpy()
-    for i in range(3):
-        sums[i, at] = table.column(i + 1).to_numpy()
-    return sums
+    sums[:, at[at >= 0]] = np.stack((n, first, second))[:, at >= 0]
+    return sums, float(first[at < 0].sum())
 
 
 def _scaled(labelled: DataFrame, model: Difficulty) -> Difficulty:
@@ -165,25 +188,38 @@ def _scaled(labelled: DataFrame, model: Difficulty) -> Difficulty:
     return model
 
 
-def fit(bags_: DataFrame, labelled: DataFrame, rounds: int = 3) -> Difficulty | None:
-    """Alternate between word difficulties and document levels; None without labels.
+def fit(bags_: DataFrame, labelled: DataFrame, rounds: int = _ROUNDS, history: list[float] | None = None) -> Difficulty | None:
+    """Alternate between word difficulties and document levels by maximum likelihood; None without labels.
 
-    Rasch-style: a word occurs the likelier, the nearer its difficulty is to
-    the document's level; its spread says how strictly. Given the levels, the
-    difficulty of a word is the mean level of its occurrences; given the
-    difficulties, the level of a document is the mean difficulty of its words
-    by precision. The labels fix the scale: the first round learns from
-    labelled documents alone, the others from all documents, each by how well
-    its words are known already.
+    Rasch-style, in the unfolding form: see ``Difficulty``. Given the words'
+    parameters, the level of a document is Gaussian with the summed slopes as
+    precision (one exact Newton step). Given the levels, with their variance,
+    the best difficulty of a word is the mean level of its occurrences and the
+    best variance theirs, under the prior. Labelled documents count
+    ``_LABEL_WEIGHT`` times at their label besides. Each round can only raise
+    the penalised log-likelihood (appended to ``history``); the fit stops when
+    it gains less than ``_LEAST_GAIN``, at most after ``rounds``. The labels
+    fix the scale; the last step is a least-squares fit of the levels to them.
     """
-    sums = _word_sums(labelled, True, None)
-    if not sums[0].sum():
+    anchor, _ = _word_sums(labelled, None)
+    n = anchor[0].sum()
+    if not n:
         return None
-    anchor = sums.copy()
-    model = _scaled(labelled, Difficulty(sums))
+    mean = anchor[1].sum() / n
+    spread = max(anchor[2].sum() / n - mean**2, 1e-3)
+    anchor *= _LABEL_WEIGHT
+    model, before = Difficulty(anchor, mean, spread), None
     for _ in range(rounds - 1):
-        model = _scaled(labelled, Difficulty(_word_sums(bags_, False, model) + anchor))
-    return model
+        sums, gained = _word_sums(bags_, model)
+        # the labelled documents at their labels, from the same sums that the words are estimated from
+        fixed = (model.constant * anchor[0] + model.weight * (model.difficulty * anchor[1] - 0.5 * anchor[2])).sum()
+        likelihood = gained + float(fixed) + model.prior()
+        if history is not None:
+            history.append(likelihood)
+        if before is not None and likelihood - before < _LEAST_GAIN * abs(likelihood):
+            break
+        model, before = Difficulty(sums + anchor, mean, spread), likelihood
+    return _scaled(labelled, model)
 
 
 def estimate(bags_: DataFrame, model: Difficulty, keep: list[str]) -> DataFrame:
@@ -217,52 +253,59 @@ def estimate(bags_: DataFrame, model: Difficulty, keep: list[str]) -> DataFrame:
     return bags_.select(*keep, "words", "sizes").mapInArrow(run, f"{kinds}, level double, whole double")
 
 
-def cut_between(labelled: DataFrame, model: Difficulty, upper: int = 4, bins: int = 500, slack: float = 0.005) -> float:
+def cut_between(labelled: DataFrame, levels: DataFrame, model: Difficulty, upper: int = 4, bins: int = 500, slack: float = 0.005) -> float:
     """The value of ``whole`` that parts the labels from ``upper`` on from those below it.
 
-    On a histogram of the labelled documents: the middle of the widest stretch
-    of cuts whose balanced error is within ``slack`` of the least. Documents
-    whose raters disagree about the side don't count.
+    On histograms: of all cuts whose balanced error on the labelled documents
+    is within ``slack`` of the least, the widest stretch, and in it the middle
+    of the longest run of places that the fewest of all documents are near.
+    Documents whose raters disagree about the side don't count.
     """
     known = estimate(labelled.withColumnRenamed("level", "label"), model, ["label"])
     clear = known.filter(F.col("whole").isNotNull() & (F.abs(F.col("label") - (upper - 0.5)) > 0.25))
     bin_ = F.least(F.greatest(F.floor(F.col("whole") / 5 * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-    rows = clear.groupBy(bin_.alias("bin"), (F.col("label") > upper - 0.5).alias("high")).count().collect()  # at most 2 x bins rows
-    count = np.zeros((2, bins))
-    for r in rows:
-        count[int(r["high"]), r["bin"]] += r["count"]
-    low, high = count
+    counted = clear.groupBy(bin_.alias("bin"), (F.col("label") > upper - 0.5).cast("int").alias("kind")).count()
+    every = levels.filter("whole IS NOT NULL").groupBy(bin_.alias("bin"), F.lit(2).alias("kind")).count()
+    count = np.zeros((3, bins))
+    for r in counted.unionByName(every).collect():  # at most 3 x bins rows
+        count[r["kind"], r["bin"]] += r["count"]
+    low, high, near = count
     if not high.sum():
         return float("inf")
     missed = np.concatenate(([0], np.cumsum(high))) / high.sum()
     wrong = (low.sum() - np.concatenate(([0], np.cumsum(low)))) / max(low.sum(), 1)
     error = missed + wrong
-    good = np.flatnonzero(error <= error.min() + slack)
-    runs = np.split(good, np.flatnonzero(np.diff(good) > 1) + 1)
-    widest = max(runs, key=len)
-    return float((widest[0] + widest[-1]) / 2 / bins * 5)
+
+    def widest(places: np.ndarray) -> np.ndarray:
+        return max(np.split(places, np.flatnonzero(np.diff(places) > 1) + 1), key=len)
+
+    good = widest(np.flatnonzero(error <= error.min() + slack))
+    density = np.convolve(np.concatenate(([0.0], near, [0.0])), np.ones(2), "valid")[good]
+    best = good[widest(np.flatnonzero(density == density.min()))]
+    return float((best[0] + best[-1]) / 2 / bins * 5)
 
 
-def _prepared(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    own = staged(bags(docs, id_col, text_col), "bags")
-    marks = labels.filter(F.col("level").between(1, 4) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.avg("level").alias("level"))
-    return own, staged(own.join(marks, id_col), "labelled")
+def _prepared(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    own = staged(bags(docs, keep, text_col), "bags")
+    marks = labels.filter(F.col("level").between(1, 4) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.avg("level").alias("level"))
+    return own, staged(own.select(F.col(id_col).alias("_id"), "words", "sizes").join(marks, "_id"), "labelled")
 
 
-def reading_levels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, level, whole, top)`` of each text with a word: mean and median reading level, and whether it is of level 4 as a whole.
+def reading_levels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id_col, *keep, level, whole, top)`` of each text with a word: mean and median reading level, and whether it is of level 4 as a whole.
 
     Null, empty and white-space texts and texts without any letter are left
     out; repeated texts and rows count each. Without labels both levels are
     null and ``top`` is false. Several raters of a document are averaged;
     labels outside 1 to 4 are ignored.
     """
-    own, labelled = _prepared(docs, labels, id_col, text_col)
+    columns = [id_col, *keep]
+    own, labelled = _prepared(docs, labels, id_col, text_col, columns)
     model = fit(own, labelled)
     if model is None:
-        return own.select(id_col, F.lit(None).cast("double").alias("level"), F.lit(None).cast("double").alias("whole"), F.lit(False).alias("top"))
-    cut = cut_between(labelled, model)
-    return estimate(own, model, [id_col]).withColumn("top", F.coalesce(F.col("whole") >= cut, F.lit(False)))
+        return own.select(*columns, F.lit(None).cast("double").alias("level"), F.lit(None).cast("double").alias("whole"), F.lit(False).alias("top"))
+    levels = staged(estimate(own, model, columns), "levels")
+    return levels.withColumn("top", F.coalesce(F.col("whole") >= cut_between(labelled, levels, model), F.lit(False)))
 
 
 def top_level(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -271,7 +314,7 @@ def top_level(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def level_profile(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """How many documents each source has at each rounded level: ``source, reading_level, n``."""
-    levels = reading_levels(docs, labels).filter(F.col("whole").isNotNull())
+    """How many documents each source has at each rounded level: ``source, reading_level, n``; repeated rows count each."""
+    levels = reading_levels(docs, labels, keep=("source",)).filter(F.col("whole").isNotNull())
     rounded = F.least(F.greatest(F.round("whole"), F.lit(1.0)), F.lit(4.0)).cast("int").alias("reading_level")
-    return docs.select("doc_id", "source").join(levels.select("doc_id", rounded), "doc_id").groupBy("source", "reading_level").agg(F.count(F.lit(1)).alias("n"))
+    return levels.groupBy("source", rounded).agg(F.count(F.lit(1)).alias("n"))
