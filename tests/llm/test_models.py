@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tracemill.llm.p3_clusters import _components, _cones, _leaves, component_labels, group_profiles, near_traces, similar_groups, ward
+from tracemill.llm.p3_clusters import _cells, _components, _cones, _leaves, component_labels, group_profiles, near_traces, similar_groups, ward
 from tracemill.llm.p10_level import _prepared, fit, level_profile, reading_levels, segments, top_level
 
 SCORED = "score_id bigint, trace_id string, status string, scored_at timestamp, embedding array<float>"
@@ -60,6 +60,30 @@ def test_a_hot_group_is_reduced_before_it_moves(spark):
     assert len(np.unique(_leaves(hot, np.arange(len(hot)), 0.95))) < 3200
 
 
+@pytest.mark.parametrize("rows", [20, 10_000])
+def test_the_number_of_cells_does_not_matter(spark, monkeypatch, rows):
+    """Thousands of cells and a single one find the same groups, just above the cosine too."""
+    monkeypatch.setattr("tracemill.llm.p3_clusters.CELL_ROWS", rows)
+    rng = np.random.default_rng(3)
+    vectors = planted(rng, [2] * 200 + [3] * 100, 4000, 0.02)
+    for _ in range(200):
+        a = unit(rng.normal(size=32))
+        side = rng.normal(size=32)
+        side = unit(side - a * (side @ a))
+        vectors += [a, np.cos(0.312) * a + np.sin(0.312) * side]
+    got = {(r["rep_id"], r["member_id"]) for r in near_traces(scored(spark, vectors).repartition(4)).collect()}
+    assert got == brute(vectors)
+
+
+def test_crowded_cells_are_divided():
+    rng = np.random.default_rng(4)
+    crowd = unit(np.eye(32)[0] + rng.normal(size=(9000, 32)) * 0.05).astype(np.float32)
+    copies = np.repeat(np.eye(32, dtype=np.float32)[:1], 5000, axis=0)
+    for rows in (crowd, copies, crowd[:1], crowd[:0]):
+        parts = list(_cells(rows, np.arange(len(rows))))
+        assert sorted(np.concatenate(parts).tolist()) == list(range(len(rows))) and max(map(len, parts)) <= 2048
+
+
 def test_odd_vectors_take_no_part(spark):
     v = [1.0] + [0.0] * 31
     vectors = [v, [2.0 * x for x in v], None, [0.0] * 32, v[:31], [None, *v[1:]], [float("nan"), *v[1:]], [float("inf"), *v[1:]], [-x for x in v]]
