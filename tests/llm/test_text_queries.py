@@ -8,7 +8,9 @@ from tokenizers import Tokenizer
 from tracemill.llm.bpe import ByteBPE, RankQueue, vocabulary_path
 from tracemill.llm.endings import concluded, open_at_end, open_structures, terminated, without_mark
 from tracemill.llm.p2_repetition import repeated_generations, repetition_measures
-from tracemill.llm.p4_pairs import defect, defects, is_copy, is_cut_output, language, tiles
+from tracemill.llm.p4_pairs import defect, defects, is_copy, is_cut_output, matches, tiles
+from tracemill.llm.languages import Languages, counted, fitted
+from tracemill.llm.refusals import declines
 from tracemill.llm.p5_truncation import cut_generations, length_limits, trie, truncation_rates, vocabulary
 from tracemill.llm.p6_leaks import leaked_items, searchers, words
 from tracemill.llm.p8_encode import encode_corpus
@@ -56,6 +58,11 @@ ASK = "A pump fills 388 litres in 584 minutes while a leak drains 917 litres eac
 SOLVED = "<think>\nThe pump gives 388 litres, so the rate is 0.66. We cannot divide by zero, but 584 is fine.\n</think>\n\nThe final answer is \\boxed{12}."
 
 
+@pytest.fixture(scope="module")
+def known(spark):
+    return fitted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
 @pytest.mark.parametrize(
     ("text", "short", "expected"),
     [
@@ -77,31 +84,65 @@ SOLVED = "<think>\nThe pump gives 388 litres, so the rate is 0.66. We cannot div
         ("Es sind insgesamt 133 Stück.", True, "wrong_language"), ("在626与955之间有583个值。 The sum of 3 and 4 is 7, which is the total that we have. Then the rest is of no use.\n\nSo the answer is \\boxed{7}", False, None),
     ],
 )
-def test_defects(text, short, expected):
-    assert defect(text, ASK, short) == expected
+def test_defects(known, text, short, expected):
+    assert defect(text, ASK, short, known) == expected
 
 
-def test_short_and_repeated_copies():
+def test_short_and_repeated_copies(known):
     copies = [("Compute 3+4", "Compute 3+4"), ("compute 3 + 4.", "Compute 3+4"), ("<think>\nCompute 3+4\n</think>\n\nCompute 3+4", "Compute 3+4"), ("\n\n".join([ASK] * 9), ASK), (" ".join([ASK.replace("leak", "given")] * 400), ASK)]
-    assert [defect(text, ask, False) for text, ask in copies] == ["copied_question"] * 5
+    assert [defect(text, ask, False, known) for text, ask in copies] == ["copied_question"] * 5
     assert not any(is_copy(text, ask) for text, ask in [("7", "Compute 3+4"), ("Compute 3-4", "Compute 3+4"), ("4", "4x"), ("x", " "), ("$", "7"), ("7", "<think>"), ("<think>", "7"), (f"{ASK} {SOLVED} " * 9, ASK)])
 
 
-def test_defects_need_an_instruction():
-    assert defect("La réponse est \\boxed{2}.", None, False) is None
-    assert defect("La réponse est \\boxed{2}.", " ", False) is None
+def test_defects_need_an_instruction(known):
+    assert defect("La réponse est \\boxed{2}.", None, False, known) is None
+    assert defect("La réponse est \\boxed{2}.", " ", False, known) is None
+
+
+def test_languages(spark, known):
+    texts = ("The sum of the numbers is of no use", "Die Summe der Zahlen ist gleich", "La suma es igual a la otra", "Le total est égal à la somme", "总数等于", "$x = 3$", "", "12")
+    assert [known.of(s) for s in texts] == ["en", "de", "es", "fr", "zh", None, None, None]
+    assert set(known.shares("The sum is even. La suma de los números es par.\n总数等于")) == {"en", "es", "zh"}
+    labelled = [("EN ", "the remainder of the number is the sum of the parts " * 3)] * 5 + [("fr", "le reste du nombre est la somme des parties " * 3)] * 5
+    wrong = counted([*labelled, ("fr", "the total of the numbers is the same " * 9), ("xx", "zz")])
+    assert sorted(wrong) == ["en", "fr"] and Languages(wrong).of("the rest of the parts") == "en"
+    none = fitted(spark.createDataFrame([], "doc_id bigint, text string, lang string"))
+    assert none.of("the sum") is None and none.of("总数等于") == "zh"
+
+
+def test_refusals_follow_the_grammar():
+    good = ["I'm afraid I cannot do that.", "We cannot help with this request.", "Mi dispiace, ma non posso aiutarti.", "Desculpe, mas não posso responder a isso.", "Извините, я не могу помочь.", "Mi rifiuto di rispondere.", "Helaas kan ik deze vraag niet beantwoorden.", "Leider muss ich die Antwort ablehnen."]
+    bad = ["We cannot divide by zero.", "No solution exists.", "x is not negative, so we can stop.", "Non si può dividere per zero.", "Man kann nicht durch null teilen.", "The rules of algebra keep the sign.", ""]
+    assert all(map(declines, good)) and not any(map(declines, bad[:5] + bad[6:]))
+
+
+def longest(text, pattern):
+    out = []
+    for i in range(len(text)):
+        n = 0
+        while any(pattern[j : j + n + 1] == text[i : i + n + 1] for j in range(len(pattern))) and i + n < len(text):
+            n += 1
+        out.append(n)
+    return out
 
 
-def test_languages_and_tiles():
-    assert [language(s) for s in ("The sum is of no use", "Die Summe ist gleich", "La suma es igual a la otra", "Le total est égal à", "总数等于", "$x = 3$")] == ["en", "de", "es", "fr", "zh", None]
+def test_tiles():
     assert tiles(list("abcxdefg"), list("abcdefg")) == [True, True, True, False, True, True, True, True]
     assert tiles(list("abab"), list("ab")) == [False] * 4
+    assert tiles(list("abcabcab"), list("abc")) == [True] * 6 + [False] * 2
+    rng = random.Random(8)
+    for _ in range(300):
+        text, pattern = rng.choices("abc", k=rng.randrange(20)), rng.choices("abc", k=rng.randrange(12))
+        assert matches(text, pattern) == longest(text, pattern)
+    many = tiles([str(i % 97) for i in range(200_000)], [str(i) for i in range(97)])
+    assert all(many)
 
 
 def test_defects_of_rows(spark):
     schema = "selected_id bigint, status string, instruction string, output string, answer string"
     df = spark.createDataFrame([(1, "ok", ASK, SOLVED, None), (1, "ok", ASK, SOLVED, None), (2, "judge_failed", None, None, None), (3, "ok", None, "x" * 200_000 + ".", "7")], schema)
-    assert sorted(tuple(r) for r in defects(df).collect()) == [(1, "answer", "empty_answer")] * 2
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert sorted(tuple(r) for r in defects(df, docs).collect()) == [(1, "answer", "empty_answer")] * 2
 
 
 # --- endings and truncation --------------------------------------------------------------

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import pyarrow as pa
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.llm.endings import DANGLING, concluded, open_at_end, open_structures, terminated, without_mark, without_tags
+from tracemill.llm.languages import Languages, fitted
+from tracemill.llm.refusals import declines
 
 DEFECTS = ("empty_answer", "refusal", "copied_question", "truncated", "wrong_language")
 
@@ -50,57 +52,71 @@ def tokens(text: str) -> list[str]:
 # --- copied question -----------------------------------------------------------
 
 
+def matches(text: list[str], pattern: list[str]) -> list[int]:
+    """For each position of ``text`` the length of the longest stretch from there that ``pattern`` has too, in linear time.
+
+    A suffix automaton of the reversed pattern reads the text from its end.
+    """
+    link, length, step = [-1], [0], [{}]
+    last = 0
+    for token in reversed(pattern):
+        new = len(length)
+        length.append(length[last] + 1)
+        link.append(0)
+        step.append({})
+        at = last
+        while at >= 0 and token not in step[at]:
+            step[at][token] = new
+            at = link[at]
+        if at >= 0:
+            to = step[at][token]
+            if length[to] == length[at] + 1:
+                link[new] = to
+            else:
+                copy = len(length)
+                length.append(length[at] + 1)
+                link.append(link[to])
+                step.append(dict(step[to]))
+                while at >= 0 and step[at].get(token) == to:
+                    step[at][token] = copy
+                    at = link[at]
+                link[to] = link[new] = copy
+        last = new
+    out = [0] * len(text)
+    at = n = 0
+    for i in range(len(text) - 1, -1, -1):
+        token = text[i]
+        while at and token not in step[at]:
+            at = link[at]
+            n = length[at]
+        if token in step[at]:
+            at = step[at][token]
+            n += 1
+        out[i] = n
+    return out
+
+
 def tiles(text: list[str], pattern: list[str], least: int = 3) -> list[bool]:
     """Greedy string tiling: which tokens of ``text`` lie in a tile shared with ``pattern``.
 
-    The longest common stretch that is still free on both sides becomes a
-    tile, until none of ``least`` tokens is left. A text may give the pattern
-    back more than once, so the pattern is free again as long as a round finds
-    a tile.
+    The longest common stretch that is still free becomes a tile (the first of
+    equals), until none of ``least`` tokens is left. A text may give the
+    pattern, or a part of it, back more than once.
     """
     taken = [False] * len(text)
-    at: dict[tuple[str, ...], list[int]] = defaultdict(list)
-    for j in range(len(pattern) - least + 1):
-        at[tuple(pattern[j : j + least])].append(j)
-    while True:
-        used, placed = [False] * len(pattern), False
-        while True:
-            best = (0, 0, 0)
-            i = 0
-            while i + least <= len(text):
-                for j in at.get(tuple(text[i : i + least]), ()):
-                    k = 0
-                    while i + k < len(text) and j + k < len(pattern) and text[i + k] == pattern[j + k] and not taken[i + k] and not used[j + k]:
-                        k += 1
-                    if k > best[0]:
-                        best = (k, i, j)
-                i += 1
-            k, i, j = best
-            if k < least:
-                break
-            taken[i : i + k] = [True] * k
-            used[j : j + k] = [True] * k
-            placed = True
-        if not placed:
-            return taken
-
-
-def covered(text: list[str], pattern: list[str], least: int = 3) -> list[bool]:
-    """Which tokens of ``text`` lie in a stretch shared with ``pattern``: from left to right, the longest at each place."""
-    taken = [False] * len(text)
-    at: dict[tuple[str, ...], list[int]] = defaultdict(list)
-    for j in range(len(pattern) - least + 1):
-        at[tuple(pattern[j : j + least])].append(j)
-    i = 0
-    while i < len(text):
-        best = 0
-        for j in at.get(tuple(text[i : i + least]), ()):
-            k = least
-            while i + k < len(text) and j + k < len(pattern) and text[i + k] == pattern[j + k]:
-                k += 1
-            best = max(best, k)
-        taken[i : i + best] = [True] * best
-        i += best or 1
+    heap = [(-n, i) for i, n in enumerate(matches(text, pattern)) if n >= least]
+    heapify(heap)
+    while heap:
+        n, i = heappop(heap)
+        n = -n
+        if taken[i]:
+            continue
+        free = next((k for k in range(n) if taken[i + k]), n)
+        if free < n:
+            if free >= least:
+                heappush(heap, (-free, i))
+            continue
+        taken[i : i + n] = [True] * n
     return taken
 
 
@@ -116,8 +132,7 @@ def is_copy(text: str, instruction: str, share: float = 0.75) -> bool:
     known = set(asked)
     if sum(t in known for t in own) < share * len(own):
         return False
-    # many repeats are covered from left to right, in linear time
-    taken = tiles(own, asked) if len(own) <= 3 * len(asked) + 12 else covered(own, asked)
+    taken = tiles(own, asked)
     free = [t for t, x in zip(own, taken, strict=True) if not x]
     new = [t for t in free if t not in known]
     return sum(taken) >= share * len(own) and len(free) <= max(4, len(own) // 4) and not (new and new[-1] == own[-1] and new[-1].isdigit())
@@ -125,66 +140,37 @@ def is_copy(text: str, instruction: str, share: float = 0.75) -> bool:
 
 # --- refusal -------------------------------------------------------------------
 
-#: Cores of a refusal, by language: someone who answers, and a verb of not being able or not willing.
-_REFUSALS = re.compile(
-    "|".join(
-        [
-            r"\bi(?:\s+\w+)?\s+(?:can(?:no|['’])?t|can\s+not|cannot|won['’]t|will\s+not|refuse|decline|must\s+(?:refuse|decline)|have\s+to\s+(?:refuse|decline))\b",
-            r"\bi(?:['’]m|\s+am)\s+(?:\w+\s+)?(?:unable|not\s+able|not\s+allowed|not\s+permitted)\b",
-            r"^\W*(?:\w+,\s+)?unable\s+to\b",
-            r"\b(?:must|have\s+to)\s+decline\b",
-            r"\bno\s+answer\s+(?:will|can)\s+be\s+given\b",
-            r"\b(?:guidelines|policy|policies|rules)\s+(?:\w+\s+)?(?:keep|prevent|forbid|stop|do\s+not\s+allow|don['’]t\s+allow)\b",
-            r"\bfalls?\s+outside\s+(?:of\s+)?what\s+i\b",
-            r"\byou\s+will\s+need\s+to\s+look\s+elsewhere\b",
-            r"\b(?:as\s+an\s+(?:ai|assistant)\b[^.!?]*\b(?:cannot|can['’]?t|unable|not))",
-            r"\bje\s+(?:ne\s+(?:peux|puis|souhaite|veux|suis|vais|répondrai|saurais|donnerai|traiterai)|refuse|décline|dois\s+(?:refuser|décliner))\b",
-            r"\bimpossible\s+d(?:e\s+|['’])(?:vous\s+|t['’])?(?:aider|répondre|traiter)",
-            r"\b(?:kann|möchte|will|darf|werde)\s+ich\b[^.!?]*\bnicht\b",
-            r"\bich\s+(?:kann|möchte|will|darf|werde)\b[^.!?]*\bnicht\b",
-            r"\bich\s+(?:verweigere|lehne)\b",
-            r"\b(?:muss|müsste)\s+ich\b[^.!?]*\b(?:ablehnen|verweigern)\b|\bich\s+muss\b[^.!?]*\b(?:ablehnen|verweigern)\b",
-            r"\bno\s+(?:puedo|podré|podemos|voy\s+a|quiero|deseo|debo|me\s+es\s+posible|responderé|resolveré)\b",
-            r"\b(?:me\s+niego|rechazo|declino|debo\s+(?:negarme|rechazar|declinar))\b",
-            r"我(?:无法|不能|不会|不便|拒绝|没有办法|没法)|恕(?:我)?(?:难|不能|无法)|不予(?:回答|解答)|无法(?:回答|解答|帮助|提供)|不能(?:回答|解答)",
-        ]
-    ),
-    re.I,
-)
-_NUMBERS = re.compile(r"\d+")
 _SOLVED = re.compile(r"\\boxed\{[^}]|\d\s*[.$}]*\s*$")
 
 
 def is_refusal(text: str, instruction: str) -> bool:
     """Whether the text declines instead of answering.
 
-    A sentence with the core of a refusal must be there, and besides it
-    nothing but courtesies (sentences without any number or formula, at most
-    14 words) and the instruction given back.
+    A sentence of the form of a refusal (``refusals``) must be there, and
+    besides it nothing but courtesies (sentences without any number or
+    formula, at most 14 words) and the instruction given back.
     """
-    asked = tokens(instruction)
-    known = set(asked)
-    if sum(n not in known for n in _NUMBERS.findall(text)) > 12:
-        return False  # each is a word of its own that is neither courtesy nor instruction
     sentences = [s for s in _SENTENCES.split(_THINK.sub("\n", text)) if s and s.strip()]
-    declined = [bool(_REFUSALS.search(s)) for s in sentences]
+    declined = [declines(s) for s in sentences]
     if not any(declined):
         return False
+    asked = tokens(instruction)
     rest = 0
     for s, no in zip(sentences, declined, strict=True):
         own = tokens(s)
+        figures = any(c.isdigit() for c in s)
         if no:
-            if any(c.isdigit() for c in s) and len(own) > 20 and not any(tiles(own, asked)):
+            if figures and len(own) > 20 and not any(tiles(own, asked)):
                 rest += len(own)
-            continue
-        if not any(c.isdigit() for c in s) and "\\" not in s and len(own) <= 14:
-            continue
-        covered = sum(tiles(own, asked))
-        if covered < 0.6 * len(own) and len(own) > 3:
-            rest += len(own) - covered
-        elif len(own) <= 3 and _SOLVED.search(s):
-            rest += 100
-    return rest <= 6
+        elif figures or "\\" in s or len(own) > 14:
+            shared = sum(tiles(own, asked))
+            if shared < 0.6 * len(own) and len(own) > 3:
+                rest += len(own) - shared
+            elif len(own) <= 3 and _SOLVED.search(s):
+                rest += 100
+        if rest > 6:
+            return False
+    return True
 
 
 # --- truncated -----------------------------------------------------------------
@@ -227,69 +213,23 @@ def is_cut_output(text: str) -> bool:
 
 # --- language ------------------------------------------------------------------
 
-#: Frequent function words, by language.
-_FUNCTION_WORDS = {
-    "en": "the of and is to in that which for with are by from we then if so but on at it be this as there not was were all when after before between under into each how many what only them comes takes altogether since hence therefore gives no",
-    "de": "der die das und ist nicht von mit den dem des ein eine einen zu auf wenn dann wir also aber weil wie viele alle man auch für durch es sind insgesamt genau im als bei zum zur je werden wird kann nur noch gleich denn unter zwischen bleibt dass beträgt keine so",
-    "fr": "le la les et est de des du un une que qui dans pour avec sur par nous donc mais car si en il y au aux ce cette sont pas ne plus tout combien tous dont alors entre sous ainsi reste égal à faut puis comme seuls",
-    "es": "el la los las y es de del un una que en para con por se su al como si pero porque entonces hay son lo más cuántas cuántos todos cada cuyo donde sin entre bajo queda así luego igual conjunto total halla sea",
-}
-_WEIGHT: dict[str, dict[str, float]] = defaultdict(dict)
-for _lang, _own in _FUNCTION_WORDS.items():
-    for _w in _own.split():
-        _WEIGHT[_w][_lang] = 1.0
-for _w, _langs in _WEIGHT.items():
-    _WEIGHT[_w] = {k: 1.0 / len(_langs) for k in _langs}
-#: Letters and marks that one of the languages has alone.
-_LETTERS = {"de": "ßäöü", "fr": "çèêëîïôûùœ’", "es": "ñ¿¡áíóú"}
-_MARKS = {lang: re.compile(f"[{marks}]") for lang, marks in _LETTERS.items()}
-_CJK = re.compile(r"[一-鿿]")
-_FORMULA = re.compile(r"\$[^$]*\$|\\[a-zA-Z]+(?:\{[^{}]*\})*")
-
-
-def language(text: str) -> str | None:
-    """The language of a short stretch of text, or None where it can't be told: script first, then function words."""
-    bare = _FORMULA.sub(" ", text)
-    cjk, letters = len(_CJK.findall(bare)), sum(map(str.isalpha, bare))
-    if cjk and cjk * 3 >= letters:
-        return "zh"
-    score: Counter = Counter()
-    low = bare.lower()
-    for w in re.findall(r"[^\W\d_]+", low):
-        if w in _WEIGHT:
-            for lang, x in _WEIGHT[w].items():
-                score[lang] += x
-    for lang, marks in _MARKS.items():
-        score[lang] += 0.5 * min(3, len(marks.findall(low)))
-    (first, a), (_, b) = (score.most_common(2) + [("", 0), ("", 0)])[:2]
-    return first if a >= 1 and a >= 1.5 * b else None
-
-
-def languages(text: str) -> Counter:
-    """Letters by language over the sentences of a text."""
-    out: Counter = Counter()
-    for s in _SENTENCES.split(_THINK.sub("\n", text)):
-        if s and (lang := language(s)):
-            out[lang] += sum(map(str.isalpha, s)) * (3 if lang == "zh" else 1)
-    return out
-
 
-def is_other_language(text: str, instruction: str, share: float = 0.8) -> bool:
+def is_other_language(text: str, instruction: str, languages: Languages, share: float = 0.8) -> bool:
     """Whether nearly all of the text is in one language and the instruction in another."""
-    asked = language(instruction)
-    if asked is None:
-        return False
-    found = languages(text)
+    found = languages.shares(text)
     if not found:
         return False
-    lang, n = found.most_common(1)[0]
-    return lang != asked and n >= share * found.total()
+    lang = max(found, key=found.get)
+    if found[lang] < share * sum(found.values()):
+        return False
+    asked = languages.of(instruction)
+    return asked is not None and lang != asked
 
 
 # --- operator ------------------------------------------------------------------
 
 
-def defect(text: str | None, instruction: str | None, short: bool) -> str | None:
+def defect(text: str | None, instruction: str | None, short: bool, languages: Languages) -> str | None:
     """The defect of one field, or None; the first that applies in the order of ``DEFECTS``."""
     if is_empty(text):
         return "empty_answer"
@@ -300,16 +240,18 @@ def defect(text: str | None, instruction: str | None, short: bool) -> str | None
         return "copied_question"
     if is_cut_answer(text) if short else is_cut_output(text):
         return "truncated"
-    return "wrong_language" if is_other_language(text, asked) else None
+    return "wrong_language" if is_other_language(text, asked, languages) else None
 
 
-def defects(selected: DataFrame) -> DataFrame:
+def defects(selected: DataFrame, docs: DataFrame) -> DataFrame:
     """``(selected_id, field, defect)`` for each defective ``output`` or ``answer`` of the rows with status ``ok``.
 
     A null field is empty. With a null or blank instruction a field can be
     neither a copy nor in another language. Repeated rows are reported each.
-    One pass, no shuffle; texts are read as a whole.
+    The languages are learnt from a bounded sample of the labelled ``docs``
+    (``languages.fitted``). One pass, no shuffle; texts are read as a whole.
     """
+    languages = fitted(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,7 +259,7 @@ def defects(selected: DataFrame) -> DataFrame:
             asked = batch.column(1).to_pylist()
             for column, field, short in ((2, "output", False), (3, "answer", True)):
                 for i, text in enumerate(batch.column(column).to_pylist()):
-                    if d := defect(text, asked[i], short):
+                    if d := defect(text, asked[i], short, languages):
                         rows.append(i)
                         fields.append(field)
                         found.append(d)
@@ -328,6 +270,6 @@ def defects(selected: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "selected_id bigint, field string, defect string")
 
 
-def defect_counts(selected: DataFrame) -> DataFrame:
+def defect_counts(selected: DataFrame, docs: DataFrame) -> DataFrame:
     """How often each field has each defect: ``field, defect, n``."""
-    return defects(selected).groupBy("field", "defect").agg(F.count(F.lit(1)).alias("n"))
+    return defects(selected, docs).groupBy("field", "defect").agg(F.count(F.lit(1)).alias("n"))

@@ -43,11 +43,11 @@ def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return defects(table(spark, folder, "selected"))
+    return defects(table(spark, folder, "selected"), table(spark, folder, "documents"))
 
 
 def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return defect_counts(table(spark, folder, "selected"))
+    return defect_counts(table(spark, folder, "selected"), table(spark, folder, "documents"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
