@@ -9,8 +9,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: At most so many labelled documents are taken for the fit, and so many characters of each; the sample is by a hash of the id.
-SAMPLE_DOCS, SAMPLE_CHARS = 3000, 2000
+from tracemill.llm.tables import hash_sample
+
+#: About so many labelled documents (never twice as many) are taken for the fit, and so many characters of each; the sample is by a hash of the id.
+SAMPLE_DOCS, SAMPLE_CHARS = 2000, 1000
 #: A language takes part if so many sampled documents have its label; a stretch is decided if its best language leads by so many nats.
 LEAST_DOCS, LEAD = 3, 4.0
 #: Words kept with their scores in a worker.
@@ -136,6 +138,7 @@ def fitted(docs: DataFrame) -> Languages:
     documents is no language, and a text that its label explains badly is left
     out. Without labelled documents only scripts are told apart.
     """
-    own = docs.filter(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0)).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    rows = own.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS).select("lang", "text").collect()  # a bounded sample
-    return Languages(counted([tuple(r) for r in rows]))
+    own = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    drawn = hash_sample(own, SAMPLE_DOCS, own.select("lang").count(), "doc_id", "lang")
+    rows = drawn.filter(F.length("text") > 0).select("lang", "text").collect()  # a bounded sample
+    return Languages(counted(sorted(tuple(r) for r in rows)))

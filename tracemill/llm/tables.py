@@ -10,6 +10,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def hash_sample(df: DataFrame, n: int, rows: int, *keys: str) -> DataFrame:
+    """About ``n`` of the ``rows`` rows, at most twice as many, by a hash of the keys: the same ones on every run, and no task sees more than its own."""
+    if rows <= n:
+        return df
+    share = int(2**62 * n / rows)
+    return df.filter(F.shiftrightunsigned(F.xxhash64(*keys), 2) < share).limit(2 * n)
+
+
 def current_rows(scored: DataFrame, *columns: str) -> DataFrame:
     """The latest ``ok`` scoring of each trace, with only the wanted columns.
 
