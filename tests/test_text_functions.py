@@ -3,7 +3,7 @@ from hashlib import md5
 import pytest
 from pyspark.sql import functions as F
 
-from tracemill.functions import arrays, parsing, percentiles, text
+from tracemill.functions import arrays, blocks, parsing, percentiles, text
 
 
 def one(spark, expr, value):
@@ -25,7 +25,10 @@ def one(spark, expr, value):
         (text.canonical_target, "\\boxed{X = 3}", "x=3"),
         (text.sentences, "A b. C?  D\n\nE", ["A b.", "C?", "D", "E"]),
         (text.logic_skeleton, "Ab1 ‘quote’ é+2", "‘ ’ é"),
-        (text.structure_skeleton, "Let x = 3, then value_2 \\frac{1}{2}", "VAR = , VAR VAR { }{ }"),
+        (text.lower, "İΣ ÉΣ", "iσ éσ"),
+        (text.announced_answer, "We add. The final answer is 12.", "12"),
+        (text.announced_answer, "We add.\n答案是 5。\nOk", "5"),
+        (text.announced_answer, " ", None),
         (text.opens_block, "Step 2: go", True),
         (text.opens_block, "then go", False),
         (text.opens_block, "(3) item", True),
@@ -66,31 +69,45 @@ def test_boxes():
     assert parsing.closing_brace("{a\\{b}", 0) == 5
 
 
-def test_targets():
-    assert parsing.targets("x \\boxed{4}. \\boxed{ 4 } \\boxed{5}") == ["4", "5"]
-    assert parsing.targets("We add. The final answer is 12.") == ["12"]
-    assert parsing.targets("Only this line") == ["Only this line"]
-    assert parsing.targets(None) == []
-    assert parsing.same_target("\\text{abcdefghijklm}", "abcdefghijklx")
-    assert not parsing.same_target("", "")
+def test_targets(spark):
+    given = ["x \\boxed{4}. \\boxed{ 4 } \\boxed{5}", "We add. The final answer is 12.", "Only this line", None, " ", "\\boxed{}"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "i int, t string").select("i", parsing.targets("t").alias("y")).orderBy("i").collect()
+    assert [r["y"] for r in rows] == [["4", "5"], ["12"], ["Only this line"], [], [], ["\\boxed{}"]]
+    pairs = spark.createDataFrame([("\\text{abcdefghijklm}", "abcdefghijklx"), ("", ""), ("a", "b"), (None, "a")], "a string, b string")
+    assert [r[0] for r in pairs.select(parsing.same_target("a", "b")).collect()] == [True, False, False, False]
 
 
 def test_blocks():
     long = "x" * 40
-    assert parsing.blocks_of(f"{long}\n\n{long}\n\nshort") == [long, long + "\nshort"]
-    assert parsing.blocks_of(f"Step 1: {long}\nand more\nStep 2: {long}") == [f"Step 1: {long}\nand more", f"Step 2: {long}"]
-    assert parsing.blocks_of(" <think> </think> ") == []
+    assert blocks.blocks_of(f"{long}\n\n{long}\n\nshort") == [long, long + "\nshort"]
+    assert blocks.blocks_of(f"Step 1: {long}\nand more\nStep 2: {long}") == [f"Step 1: {long}\nand more", f"Step 2: {long}"]
+    assert blocks.blocks_of(" <think> </think> ") == []
     paragraph = " ".join(f"Then {i} {'y' * 100}." for i in range(12))
-    assert len(parsing.blocks_of(paragraph)) == 2
-    assert parsing.logic_blocks("Step 1: a\nStep 2: b\n\nc") == ["Step 1: a", "Step 2: b", "c"]
-    pattern = parsing.marker_pattern(["But wait", "Wait", "So"])
+    assert len(blocks.blocks_of(paragraph)) == 2
+    assert blocks.logic_blocks("Step 1: a\nStep 2: b\n\nc") == ["Step 1: a", "Step 2: b", "c"]
+    pattern = blocks.marker_pattern(["But wait", "Wait", "So"])
     text = f"Intro {long} So {long} but wait {long}"
-    assert [b[:3] for b in parsing.marker_blocks(text, pattern)] == ["Int", "So ", "but"]
+    assert [b[:3] for b in blocks.marker_blocks(text, pattern)] == ["Int", "So ", "but"]
+
+
+def test_filled_blocks_begin_where_allowed():
+    parts = ["a" * 40] * 6
+    assert blocks.filled(parts, 100).tolist() == [False, False, True, False, True, False]
+    assert blocks.filled(parts, 100, free=[False, False, False, True, False, False]).tolist() == [False, False, False, True, False, False]
+    assert blocks.filled(parts, 30, least=80).tolist() == [False, False, True, False, True, False]
+    assert blocks.joined(["a", "b", "c"], [False, False, True], "-") == ["a-b", "c"] and blocks.joined([], [], "-") == []
+    assert blocks.merged_short(["x" * 40, "y", "z" * 40], 28, "+") == ["x" * 40 + "+y", "z" * 40]
+    assert blocks.form("Let x = 3, then value_2 \\frac{1}{2} \\ -4 é1b") == "VAR = , VAR VAR { }{ } \\ é"
+
+
+def test_think_spans():
+    assert parsing.with_think("a <think>old</think> b", "new") == "a <think>new</think> b" and parsing.with_think("plain", "new") == "new"
+    assert parsing.think_span("a <think>old</think> b") == (9, 12) and parsing.think_span(None) is None
 
 
 def test_forms_and_json():
-    assert parsing.form_similarity("x = 3 gives value", "y = 4 gives thing") == 1.0
-    assert parsing.form_similarity("", "a") == 0.0
+    assert blocks.form_similarity("x = 3 gives value", "y = 4 gives thing") == 1.0
+    assert blocks.form_similarity("", "a") == 0.0
     assert parsing.salvaged_json('text ```json\n{"a": 1}\n``` more') == '{"a": 1}'
     assert parsing.salvaged_json('so {"a": {"b": 2}} end') == '{"a": {"b": 2}}'
     assert parsing.salvaged_json("none") is None
@@ -103,7 +120,7 @@ def test_forms_and_json():
 
 def test_arrow_wrappers(spark):
     rows = spark.createDataFrame([("\\boxed{1}", "2"), (None, None)], "x string, a string")
-    got = rows.select(parsing.udf_boxed("x").alias("b"), parsing.udf_with_answer("x", "a").alias("w"), parsing.udf_blocks("x").alias("k")).collect()
+    got = rows.select(parsing.udf_boxed("x").alias("b"), parsing.udf_with_answer("x", "a").alias("w"), blocks.udf_blocks("x").alias("k")).collect()
     assert got[0]["b"] == ["1"] and got[0]["w"] == "\\boxed{2}" and got[1]["b"] == [] and got[1]["k"] == []
 
 

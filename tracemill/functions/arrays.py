@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.functions.text import non_blank
-
-
-def let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """``f(value)`` with the value worked out once per row, also where ``f`` uses it inside another array function."""
-    return F.element_at(F.transform(F.array(value), f), 1)
+from tracemill.functions.text import let, non_blank  # noqa: F401  (let is used through this module)
 
 
 def with_row(df: DataFrame, row: DataFrame) -> DataFrame:

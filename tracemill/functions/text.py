@@ -6,16 +6,22 @@ unless a docstring says otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that carry no dependency between blocks.
-STOPWORDS = (
-    "the and that this then with from have will into case therefore thus hence because since answer final boxed math text frac sqrt "
-    "left right cdot times so we is are to of in for a an it as on by be or if"
-).split()
+STOPWORDS = [
+    "the", "and", "that", "this", "then", "with", "from", "have", "will", "into", "case", "therefore", "thus", "hence", "because", "since",
+    "answer", "final", "boxed", "math", "text", "frac", "sqrt", "left", "right", "cdot", "times", "so", "we", "is", "are", "to", "of", "in",
+    "for", "a", "an", "it", "as", "on", "by", "be", "or", "if",
+]
 # The shorter list used for overlap between blocks.
-OVERLAP_STOPWORDS = "the and that this then with from have will into case so we is are to of in for a an".split()
+OVERLAP_STOPWORDS = [
+    "the", "and", "that", "this", "then", "with", "from", "have", "will", "into", "case", "so", "we", "is", "are", "to", "of", "in", "for",
+    "a", "an",
+]
 # Substrings that mark reasoning, in any position of a word.
 REASONING_MARKERS = [
     "because", "since", "therefore", "thus", "hence", "so", "then", "we get", "we have", "implies", "derive", "calculate", "solve",
@@ -40,15 +46,36 @@ MATH_SIGN = r"[=<>≤≥]|\\frac|\\sqrt|\\sum|\\int|\d\s*[-+*/]\s*\d"
 NUMBER = r"[-+]?\d+(?:\.\d+)?"
 DEPENDENCY_TOKEN = r"[a-zA-Z_][a-zA-Z_0-9]*|[-+]?\d+(?:\.\d+)?|[一-鿿]+"
 OVERLAP_TOKEN = r"[a-zA-Z_][a-zA-Z_0-9]*|[-+]?\d+(?:\.\d+)?"
-SENTENCE_END = r"(?<=[.!?。！？])\s+|\n+"
-
+#: White space in all text functions, inside a character class.
+WHITE = " \t\n\x0b\f\r"
 _SPACE = r"[ \t\n\x0B\f\r]"
+SENTENCE_END = rf"(?<=[.!?。！？]){_SPACE}+|\n+"
+# How a final answer is announced.
+ANNOUNCED = (
+    r"(?i)(?:final\s+answer|answer|therefore|thus|so)\s*(?:is|:|=)?\s*(.+)$",
+    r"(?:答案|最终答案|所以|因此)\s*(?:是|为|:|：)?\s*(.+)$",
+)
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def lower(c: Column | str) -> Column:
+    """Lower case, letter by letter: the dotted capital I becomes i and the capital sigma the middle one, wherever they stand."""
+    return F.lower(F.translate(_col(c), "İΣ", "iσ"))
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value worked out once per row, also where ``f`` uses it inside another array function."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def replaced(c: Column, pattern: str, by: str, sign: str) -> Column:
+    """``regexp_replace`` for texts that hold ``sign``, without which the pattern cannot match: a plain search spares most texts the pattern."""
+    return let(c, lambda x: F.when(F.contains(x, F.lit(sign)), F.regexp_replace(x, pattern, by)).otherwise(x))
+
+
 def quoted(text: str) -> str:
     """The text as a literal inside a regular expression."""
     return "".join("\\" + ch if not ch.isalnum() and ord(ch) < 128 and ch not in " '" else ch for ch in text)
@@ -56,7 +83,7 @@ def quoted(text: str) -> str:
 
 def strip(c: Column | str) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(_col(c), f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.trim(_col(c), F.lit(WHITE))
 
 
 def non_blank(c: Column | str) -> Column:
@@ -71,19 +98,19 @@ def first_non_blank(*columns: Column | str) -> Column:
 
 def normalize_answer(c: Column | str) -> Column:
     """Answer for equality: lower case, box unwrapped (up to the first closing brace), without ``$`` and spaces; null becomes ''."""
-    return F.translate(F.regexp_replace(F.lower(strip(F.coalesce(_col(c), F.lit("")))), r"\\boxed\{(.*?)\}", "$1"), "$ ", "")
+    return F.translate(F.regexp_replace(lower(strip(F.coalesce(_col(c), F.lit("")))), r"\\boxed\{(.*?)\}", "$1"), "$ ", "")
 
 
 def strip_think(c: Column | str) -> Column:
     """Without the think tags; what they hold stays."""
-    return strip(F.regexp_replace(_col(c), "(?i)</?think>", ""))
+    return strip(replaced(_col(c), "(?i)</?think>", "", "<"))
 
 
 def think_text(c: Column | str) -> Column:
     """What all think spans hold, joined by a line feed; after an unclosed tag the rest; without any tag the whole text."""
     text = _col(c)
     spans = F.regexp_extract_all(text, F.lit("(?is)<think>(.*?)</think>"), F.lit(1))
-    start = F.locate("<think>", F.lower(text))
+    start = F.locate("<think>", lower(text))
     rest = F.when(start > 0, F.substring(text, start + 7, F.length(text))).otherwise(text)
     return F.when(F.size(spans) > 0, F.array_join(F.transform(spans, strip), "\n")).otherwise(strip(rest))
 
@@ -101,39 +128,45 @@ def clean_target(c: Column | str) -> Column:
 
 
 def canonical_target(c: Column | str) -> Column:
-    """Key under which two targets are the same: wrappers opened, commands, white space and punctuation dropped."""
-    text = F.regexp_replace(F.lower(clean_target(c)), r"\\(?:boxed|text|mathrm)\s*\{([^{}]*)\}", "$1")
-    text = F.regexp_replace(text, r"\\[a-zA-Z]+", "")
-    return F.regexp_replace(text, r"[\s$`'\".,;:，。；：]+", "")
+    """Key under which two targets are the same: the cleaned target in lower case, wrappers opened, commands, white space and punctuation dropped.
+
+    What cleaning squeezes and trims is dropped here anyway, so only the think
+    tags and what leads the text are taken off before.
+    """
+    text = F.regexp_replace(replaced(_col(c), "(?i)</?think>", "", "<"), r"^[:：=\-\s]+", "")
+    text = replaced(lower(text), r"\\(?:boxed|text|mathrm)\s*\{([^{}]*)\}", "$1", "\\")
+    return F.regexp_replace(replaced(text, r"\\[a-zA-Z]+", "", "\\"), r"[\s$`'\".,;:，。；：]+", "")
+
+
+def announced_answer(c: Column | str) -> Column:
+    """The answer that one of the last eight sentences announces, the last first, else the last sentence, cleaned; null for a blank text."""
+    parts = sentences(c)
+    last = F.reverse(F.slice(parts, F.greatest(F.size(parts) - 7, F.lit(1)), 8))
+
+    def of(sentence: Column) -> Column:
+        own = [clean_target(F.regexp_extract(sentence, p, 1)) for p in ANNOUNCED]
+        return F.when(own[0] != "", own[0]).otherwise(own[1])
+
+    found = F.get(F.filter(F.transform(last, of), lambda x: x != ""), F.lit(0))
+    return F.coalesce(found, F.when(F.size(parts) > 0, clean_target(F.get(last, F.lit(0)))))
 
 
 def logic_skeleton(c: Column | str) -> Column:
     """The text without ASCII letters, digits and mathematical punctuation, white space squeezed."""
-    text = F.regexp_replace(F.lower(_col(c)), r"[0-9a-zA-Z+\-*/=()\[\]{}^$\\.,:;_]", " ")
+    text = F.regexp_replace(lower(_col(c)), r"[0-9a-zA-Z+\-*/=()\[\]{}^$\\.,:;_]", " ")
     return strip(F.regexp_replace(text, r"\s+", " "))
 
 
-def structure_skeleton(c: Column | str) -> Column:
-    """The form of a block: commands, formula marks, numbers and single letters dropped, every other ASCII word is VAR."""
-    text = F.lower(_col(c))
-    for pattern, by in (
-        (r"\\[a-zA-Z]+", " "), (r"\$+|\\\(|\\\)|\\\[|\\\]", " "), (NUMBER, " "), (r"(?U)\b[a-zA-Z]\b", " "),
-        (r"(?U)\b[a-zA-Z_][a-zA-Z_0-9]*\b", "VAR"), (r"\s+", " "),
-    ):
-        text = F.regexp_replace(text, pattern, by)
-    return strip(text)
-
-
 def dependency_tokens(c: Column | str) -> Column:
     """Distinct identifiers, numbers and runs of ideographs, longer than one character and no stop word."""
-    text = F.regexp_replace(F.lower(_col(c)), r"\\[a-zA-Z]+", " ")
+    text = replaced(lower(_col(c)), r"\\[a-zA-Z]+", " ", "\\")
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(DEPENDENCY_TOKEN), F.lit(0)))
     return F.filter(found, lambda t: ~t.isin(STOPWORDS) & (F.length(t) > 1))
 
 
 def overlap_tokens(c: Column | str) -> Column:
     """Distinct identifiers and numbers that are no stop word of the shorter list."""
-    text = F.regexp_replace(F.lower(_col(c)), r"\\[a-zA-Z]+", " ")
+    text = replaced(lower(_col(c)), r"\\[a-zA-Z]+", " ", "\\")
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(OVERLAP_TOKEN), F.lit(0)))
     return F.filter(found, lambda t: ~t.isin(OVERLAP_STOPWORDS))
 
@@ -142,15 +175,31 @@ def numbers(c: Column | str) -> Column:
     return F.array_distinct(F.regexp_extract_all(_col(c), F.lit(NUMBER), F.lit(0)))
 
 
+def any_of(phrases: list[str]) -> str:
+    """A pattern for any of the phrases: their tree of letters, entered only at letters that one of them begins with."""
+    tree: dict = {}
+    for phrase in phrases:
+        node = tree
+        for letter in phrase:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def branch(node: dict) -> str:
+        ways = [quoted(letter) + branch(below) for letter, below in node.items() if letter]
+        return "" if "" in node or not ways else ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return f"(?=[{''.join(map(quoted, tree))}]){branch(tree)}"
+
+
 def has_reasoning_signal(c: Column | str) -> Column:
     text = _col(c)
-    return F.lower(text).rlike("|".join(map(quoted, REASONING_MARKERS))) | text.rlike(MATH_SIGN)
+    return lower(text).rlike(any_of(REASONING_MARKERS)) | text.rlike(MATH_SIGN)
 
 
 def is_non_supporting(c: Column | str, tokens: Column | None = None) -> Column:
     """A block with a mark of doubt, or with hardly a token (given, if they are known) and nothing mathematical."""
     text = _col(c)
-    marked = F.lower(text).rlike("|".join(map(quoted, NON_SUPPORTING_MARKERS)))
+    marked = lower(text).rlike(any_of(NON_SUPPORTING_MARKERS))
     return marked | ((F.size(dependency_tokens(text) if tokens is None else tokens) <= 1) & ~text.rlike(r"\\boxed|\d|[=<>]"))
 
 
@@ -196,7 +245,7 @@ _TRUE = ["true", "yes", "y", "1", "是", "有用", "充分"]
 
 def coerce_bool(c: Column | str) -> Column:
     """Truth of a model's word: a known spelling of yes, or a number other than 0; everything else, null included, is false."""
-    text = F.lower(strip(_col(c).cast("string")))
+    text = lower(strip(_col(c).cast("string")))
     number = F.when(text.rlike(r"^[-+]?\d+(\.\d+)?$"), text.cast("double"))
     return F.coalesce(text.isin(_TRUE), F.lit(False)) | F.coalesce(number != 0, F.lit(False))
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions.arrays import let, or_empty, with_row
-from tracemill.functions.parsing import udf_blocks, udf_targets
+from tracemill.functions.blocks import udf_blocks
+from tracemill.functions.parsing import targets as text_targets
 from tracemill.functions.percentiles import at_index, index_percent, index_upper_median
 from tracemill.functions.text import canonical_target, dependency_tokens, has_reasoning_signal, is_non_supporting, numbers, word_count
 from tracemill.sources.stage import staged
@@ -16,16 +17,10 @@ def _ints() -> Column:
     return F.array().cast("array<int>")
 
 
-def block_facts(text: Column) -> Column:
-    """What deciding about a block needs, worked out once per block."""
-
-    def facts(tokens: Column) -> Column:
-        return F.struct(
-            text.alias("text"), canonical_target(text).alias("key"), tokens.alias("tokens"), numbers(text).alias("numbers"),
-            has_reasoning_signal(text).alias("signal"), is_non_supporting(text, tokens).alias("doubt"),
-        )
-
-    return let(dependency_tokens(text), facts)
+def block_facts(text: Column, least_key: Column) -> Column:
+    """What deciding about a block needs, worked out once per block; the key only where the block is long enough to hold one of ``least_key`` letters."""
+    key = F.when(F.length(text) >= least_key, canonical_target(text)).otherwise("")
+    return F.struct(text.alias("text"), key.alias("key"), dependency_tokens(text).alias("tokens"), numbers(text).alias("numbers"))
 
 
 def target_facts(text: Column) -> Column:
@@ -33,12 +28,17 @@ def target_facts(text: Column) -> Column:
 
 
 def supports(block: Column, target: Column) -> Column:
-    """Whether a block supports a target: it contains it, or reasons with its words (all, or two) or with all its numbers."""
+    """Whether a block supports a target: it contains it, or reasons with its words (all, or two) or with all its numbers.
+
+    The set tests come first: only where they hold is the block searched for
+    signs of reasoning and of doubt.
+    """
     contained = (target["key"] != "") & F.contains(block["key"], target["key"])
     shared = F.size(F.array_intersect(target["tokens"], block["tokens"]))
     words = (F.size(target["tokens"]) > 0) & ((shared == F.size(target["tokens"])) | (shared >= 2))
     figures = (F.size(target["numbers"]) > 0) & (F.size(F.array_except(target["numbers"], block["numbers"])) == 0)
-    return F.coalesce(contained | (~block["doubt"] & block["signal"] & (words | figures)), F.lit(False))
+    reasons = has_reasoning_signal(block["text"]) & ~is_non_supporting(block["text"], block["tokens"])
+    return F.coalesce(contained | ((words | figures) & reasons), F.lit(False))
 
 
 def labelled(df: DataFrame, blocks: Column, targets: Column) -> DataFrame:
@@ -52,8 +52,13 @@ def labelled(df: DataFrame, blocks: Column, targets: Column) -> DataFrame:
         hits = F.transform(F.filter(goals, lambda x: supports(b, x["t"])), lambda x: x["j"])
         return let(hits, lambda own: F.struct(i.alias("block_id"), F.when(F.size(own) > 0, "SUPPORTING").otherwise("NON_SUPPORTING").alias("type"), own.alias("supports")))
 
+    def labels(goals: Column) -> Column:
+        least = F.array_min(F.filter(F.transform(goals, lambda g: F.length(g["t"]["key"])), lambda n: n > 0))
+        facts = let(F.coalesce(least, F.lit(2**31 - 1)), lambda n: F.transform(blocks, lambda b: block_facts(b, n)))
+        return F.transform(facts, lambda b, i: label(b, i, goals))
+
     goals = F.transform(targets, lambda t, j: F.struct(j.alias("j"), target_facts(t).alias("t")))
-    return df.withColumn("block_labels", let(goals, lambda g: F.transform(F.transform(blocks, block_facts), lambda b, i: label(b, i, g))))
+    return df.withColumn("block_labels", let(goals, labels))
 
 
 def label_parts(df: DataFrame) -> DataFrame:
@@ -92,7 +97,7 @@ def compressed(df: DataFrame, key: str, text: str) -> DataFrame:
     rows with an error have empty arrays.
     """
     rows = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = rows.withColumn("targets", udf_targets("_text")).withColumn("blocks", udf_blocks("_text"))
+    rows = rows.withColumn("targets", text_targets("_text")).withColumn("blocks", udf_blocks("_text"))
     rows = labelled(rows, F.col("blocks"), F.col("targets"))
     error = F.when(F.trim(F.regexp_replace("_text", r"\s+", " ")) == "", "empty_cot").when(F.size("targets") == 0, "empty_target").when(F.size("blocks") == 0, "empty_blocks")
     return statistics(label_parts(rows), F.col("blocks"), F.col("targets")).withColumn("error", error).drop("_text")

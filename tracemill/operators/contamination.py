@@ -7,24 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.functions.text import normalize_answer
+from tracemill.functions.text import lower, normalize_answer
+from tracemill.operators.phrases import phrase_hits
 
 Judge = Callable[[DataFrame], DataFrame]
 
 
-def answer_matches(train: DataFrame, bench: DataFrame, key: str, judge: Judge | None = None) -> DataFrame:
+def answer_matches(train: DataFrame, bench: DataFrame, key: str, judge: Judge | None = None, salts: int = 16) -> DataFrame:
     """Pairs of a training row and a benchmark item with the same normalised answer: ``(key, item_id)``.
 
     A null answer is an empty one and matches empty ones. ``judge`` gets the
     candidate pairs (with ``problem`` and ``item_problem``) and returns those
     that are the same problem; it runs after the equi join, so a costly model
-    sees only candidates. The join key is the answer: the benchmark side is
-    reduced to distinct (answer, item) rows first, and Spark broadcasts it
-    only if its size allows.
+    sees only candidates. Of the training side only rows whose answer an item
+    has take part; as an answer such as the empty one may be that of a large
+    part of them, the join key is salted, with a copy of the (few) items of
+    an answer for each salt.
     """
-    left = train.select(key, F.col("problem"), normalize_answer("answer").alias("_a"))
+    left = train.select(key, F.col("problem"), normalize_answer("answer").alias("_a"), F.pmod(F.xxhash64(key, "problem"), F.lit(salts)).alias("_salt"))
     right = bench.select("item_id", F.col("problem").alias("item_problem"), normalize_answer("answer").alias("_a")).distinct()
-    pairs = left.join(right, "_a")
+    pairs = left.join(right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))), ["_a", "_salt"])
     return (judge(pairs) if judge else pairs).select(key, "item_id")
 
 
@@ -32,7 +34,7 @@ def word_overlap_judge(share: float = 0.5) -> Judge:
     """A judge without a model: the problems share that part of the words of the item."""
 
     def run(pairs: DataFrame) -> DataFrame:
-        words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0)))
+        words = lambda c: F.array_distinct(F.regexp_extract_all(lower(c), F.lit("[a-z]+"), F.lit(0)))
         both = F.size(F.array_intersect(words("problem"), words("item_problem")))
         return pairs.filter(both >= F.lit(share) * F.size(words("item_problem")))
 
@@ -44,18 +46,7 @@ def without_matches(train: DataFrame, matches: DataFrame, key: str) -> DataFrame
     return train.join(matches.select(key).distinct(), key, "left_anti")
 
 
-def containing(train: DataFrame, phrases: DataFrame, key: str, text: str, phrase: str, phrase_id: str) -> DataFrame:
-    """``(key, phrase_id)`` where the text has the phrase in it as it is.
-
-    The phrases are a stated query set and go to every partition once; null
-    and empty phrases match nothing.
-    """
-    own = phrases.filter(F.col(phrase).isNotNull() & (F.col(phrase) != "")).select(F.col(phrase_id).alias("_pid"), F.col(phrase).alias("_p"))
-    rows = train.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return rows.join(own, F.col("_text").contains(F.col("_p"))).select(F.col("_key").alias(key), F.col("_pid").alias(phrase_id))
-
-
 def last_mention(texts: DataFrame, patterns: DataFrame, key: str, text: str) -> DataFrame:
     """For each pattern the last row (by key) that contains it, and how many do: ``name, n, last_key``; patterns without any are kept with 0."""
-    hits = containing(texts, patterns, key, text, "pattern", "name").groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_key"))
+    hits = phrase_hits(texts, patterns, key, text, "pattern", "name").groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_key"))
     return patterns.select("name").join(hits, "name", "left").select("name", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "last_key")

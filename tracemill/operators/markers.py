@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracemill.functions.arrays import let
-from tracemill.functions.text import is_clean_marker, quoted, squeeze_blanks, strip
+from tracemill.functions.text import is_clean_marker, lower, quoted, squeeze_blanks, strip
 
 # The markers that are always in the dictionary, by category.
 SEEDS = {
@@ -48,21 +47,30 @@ TRANSITION_HEADS = [
 
 def category(marker: Column) -> Column:
     """Verification before transition before derivation, by how the marker begins."""
-    begins = lambda heads: F.lower(marker).rlike("^(?:" + "|".join(map(quoted, heads)) + ")")
+    begins = lambda heads: lower(marker).rlike("^(?:" + "|".join(map(quoted, heads)) + ")")
     return F.when(begins(VERIFICATION_HEADS), "B_verification_reflection_markers").when(begins(TRANSITION_HEADS), "C_starting_transition_markers").otherwise("A_derivation_markers")
 
 
+def _heads(markers: list[str]) -> dict[str, list[str]]:
+    """For each marker (in lower case) the markers that it begins with, itself included, at the end of a word."""
+    low = {m.lower(): m for m in markers}
+    ends = lambda x, p: len(x) == len(p) or not ("a" <= x[len(p)] <= "z")
+    return {x: [low[p] for p in low if x.startswith(p) and ends(x, p)] for x in low}
+
+
 def seed_counts(texts: DataFrame, text: str) -> DataFrame:
-    """How often each seed occurs, case ignored and no letter next to it: ``marker, n``.
+    """How often each seed occurs, ASCII case ignored and no letter next to it: ``marker, n``.
 
-    A plain search finds the seeds that a text has at all; only those go
-    through their pattern, and only counts leave the partition.
+    One pattern finds the longest seed at every place (without consuming it,
+    so seeds may overlap); the seeds that it begins with are counted with it.
+    Only counts leave the partition.
     """
-    seeds = F.array(*[F.struct(F.lit(m).alias("marker"), F.lit(m.lower()).alias("low"), F.lit("(?i)(?<![A-Za-z])" + quoted(m) + "(?![A-Za-z])").alias("p")) for group in SEEDS.values() for m in group])
-    clean = texts.filter(F.col(text).isNotNull()).select(squeeze_blanks(text).alias("_t"))
-    there = let(F.lower("_t"), lambda low: F.filter(seeds, lambda s: F.contains(low, s["low"])))
-    found = clean.select("_t", F.explode(there).alias("s")).select("s.marker", F.regexp_count("_t", F.col("s.p")).alias("n"))
-    return found.groupBy("marker").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+    seeds = [m for group in SEEDS.values() for m in group]
+    ways = "|".join(quoted(m) for m in sorted(seeds, key=len, reverse=True))
+    heads = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for kv in _heads(seeds).items() for x in kv])
+    found = F.regexp_extract_all(squeeze_blanks(text), F.lit(f"(?i)(?<![A-Za-z])(?=({ways})(?![A-Za-z]))"), F.lit(1))
+    counts = texts.select(F.explode(found).alias("_m")).groupBy(F.lower("_m").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.select(F.explode(heads[F.col("_m")]).alias("marker"), "_n").groupBy("marker").agg(F.sum("_n").alias("n"))
 
 
 def leading_counts(texts: DataFrame, text: str) -> DataFrame:
@@ -84,11 +92,11 @@ def dictionary(texts: DataFrame, text: str, least: int = 2) -> DataFrame:
     frequent = counts.filter(F.col("n") >= least).select(category(F.col("marker")).alias("category"), "marker")
     seeds = spark.createDataFrame([(c, m) for c, group in SEEDS.items() for m in group], "category string, marker string")
     rows = seeds.unionByName(frequent).select("category", strip("marker").alias("marker")).filter(is_clean_marker("marker")).distinct()
-    order = Window.partitionBy("category").orderBy(F.length("marker").desc(), F.lower("marker"), "marker")
+    order = Window.partitionBy("category").orderBy(F.length("marker").desc(), lower("marker"), "marker")
     return rows.withColumn("position", F.row_number().over(order))
 
 
 def collected(values: Column) -> Column:
     """The markers of a map of lists: stripped, distinct, longest first, then by lower case."""
     flat = F.filter(F.array_distinct(F.transform(F.flatten(F.map_values(values)), lambda m: strip(m))), lambda m: m != "")
-    return F.transform(F.array_sort(F.transform(flat, lambda m: F.struct((-F.length(m)).alias("n"), F.lower(m).alias("low"), m.alias("m")))), lambda x: x["m"])
+    return F.transform(F.array_sort(F.transform(flat, lambda m: F.struct((-F.length(m)).alias("n"), lower(m).alias("low"), m.alias("m")))), lambda x: x["m"])

@@ -6,9 +6,9 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from tracemill.functions.parsing import form_similarity
+from tracemill.functions.blocks import form_similarity
+from tracemill.functions.parsing import mapped
 from tracemill.functions.text import OVERLAP_STOPWORDS, OVERLAP_TOKEN
 
 Verdict = tuple[bool, bool]
@@ -106,10 +106,10 @@ def udf_needed(blocks: Column | str) -> Column:
         kept, jump = needed_blocks([b for b in (own or [])])
         return {"kept": kept, "jump": jump}
 
-    return F.udf(run, "struct<kept: array<int>, jump: int>", useArrow=True)(blocks)
+    return mapped(run, "struct<kept: array<int>, jump: int>", blocks)
 
 
 def udf_suffix(blocks: Column | str, answer: Column | str) -> Column:
     """The suffix search with the judge that knows the answer."""
     run = lambda own, a: sufficient_suffix(list(own or []), answer_judge(a or ""))
-    return F.udf(run, "struct<status: string, kept: array<int>, checked: int, best: int>", useArrow=True)(blocks, answer)
+    return mapped(run, "struct<status: string, kept: array<int>, checked: int, best: int>", blocks, answer)

@@ -107,8 +107,8 @@ def top_share(df: DataFrame, cluster: str, order: list[Column], share: float, ke
     return df.withColumn("__p", F.row_number().over(whole.orderBy(*order))).withColumn("__most", most).withColumn("split", F.when(F.col("__p") <= F.col("__most"), "high").otherwise("low")).drop("__p", "__most")
 
 
-def ranked_share(df: DataFrame, key: str, cluster: str, order: list[Column], share: float, keep_one: bool = True) -> DataFrame:
-    """``(key, split)`` as ``top_share`` gives it, for clusters of any size.
+def ranked_share(df: DataFrame, key: str, cluster: str, order: list[Column], share: float, keep_one: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, *keep, split)`` as ``top_share`` gives it, for clusters of any size.
 
     Positions come from one range sort of all rows with prefix sums
     (``ranking.ranked``) instead of a window that puts a cluster into one
@@ -116,10 +116,10 @@ def ranked_share(df: DataFrame, key: str, cluster: str, order: list[Column], sha
     """
     name = F.coalesce(F.col(cluster).cast("string"), F.lit("\x00"))
     rows = df.withColumn("__cluster", name)
-    placed = ranked(rows, ["__cluster"], [key], [*order, F.col(key)], [key])
+    placed = ranked(rows, ["__cluster"], [key], [*order, F.col(key)], [key, *keep])
     sizes = rows.groupBy("__cluster").agg(F.floor(F.count(F.lit(1)) * F.lit(float(share))).alias("__size"))
     most = F.greatest(F.col("__size"), F.lit(1)) if keep_one else F.col("__size")
-    return placed.join(sizes, "__cluster").select(key, F.when(F.col("position") <= most, "high").otherwise("low").alias("split"))
+    return placed.join(sizes, "__cluster").select(key, *keep, F.when(F.col("position") <= most, "high").otherwise("low").alias("split"))
 
 
 def split_summary(df: DataFrame, score: str, ifd: str | None = None) -> DataFrame:

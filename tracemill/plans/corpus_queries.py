@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import canonical_target, logic_skeleton, normalize_answer, problem_key, sentences, word_count
-from tracemill.operators import contamination, formats, profile, resume, sampling
-from tracemill.plans.registry import WS, query, strip, table
+from tracemill.operators import contamination, formats, phrases, profile, resume, sampling
+from tracemill.plans.registry import WS, lower, query, strip, table
 from tracemill.sources.readers import shard_output_name
 from tracemill.streaming.incremental import windowed_counts
 
@@ -84,15 +84,15 @@ def field_usage(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT row_id, item_id FROM problems p, benchmark_items b WHERE b.problem <> '' AND contains(p.problem, b.problem)")
 def contamination_contains(spark: SparkSession, folder: str) -> DataFrame:
-    return contamination.containing(table(spark, folder, "problems"), table(spark, folder, "benchmark_items"), "row_id", "problem", "problem", "item_id")
+    return phrases.phrase_hits(table(spark, folder, "problems"), table(spark, folder, "benchmark_items"), "row_id", "problem", "problem", "item_id")
 
 
 def _answer(x: str) -> str:
-    lowered = f"lower({strip(f'''coalesce({x}, '')''')})"
+    lowered = lower(strip(f"coalesce({x}, '')"))
     return rf"replace(replace(regexp_replace({lowered}, '\\boxed\{{(.*?)\}}', '\1', 'g'), '$', ''), ' ', '')"
 
 
-_PAIRS = rf"""pairs AS (SELECT p.row_id, b.item_id, list_distinct(regexp_extract_all(lower(p.problem), '[a-z]+')) AS pw, list_distinct(regexp_extract_all(lower(b.problem), '[a-z]+')) AS bw
+_PAIRS = rf"""pairs AS (SELECT p.row_id, b.item_id, list_distinct(regexp_extract_all({lower('p.problem')}, '[a-z]+')) AS pw, list_distinct(regexp_extract_all({lower('b.problem')}, '[a-z]+')) AS bw
   FROM problems p JOIN benchmark_items b ON {_answer('p.answer')} = {_answer('b.answer')}),
 hit AS (SELECT DISTINCT row_id FROM pairs WHERE len(list_intersect(pw, bw)) >= 0.5 * len(bw))"""
 
@@ -132,12 +132,12 @@ def keyword_probe(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.last_mention(table(spark, folder, "problems"), patterns, "row_id", "problem")
 
 
-_SKELETON = rf"{strip(r'''regexp_replace(regexp_replace(lower(text), '[0-9a-zA-Z+\-*/=()\[\]{}^$\\.,:;_]', ' ', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')''')}"
+_SKELETON = strip("regexp_replace(regexp_replace(" + lower("text") + r", '[0-9a-zA-Z+\-*/=()\[\]{}^$\\.,:;_]', ' ', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')")
 
 
-@query(f"SELECT doc_id, {_SKELETON} AS skeleton FROM documents WHERE text IS NOT NULL AND text NOT LIKE '%İ%'")
+@query(f"SELECT doc_id, {_SKELETON} AS skeleton FROM documents WHERE text IS NOT NULL")
 def logic_skeletons(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").filter(F.col("text").isNotNull() & ~F.col("text").contains("İ"))
+    rows = table(spark, folder, "documents").filter("text IS NOT NULL")
     return rows.select("doc_id", logic_skeleton("text").alias("skeleton"))
 
 
@@ -151,7 +151,7 @@ _CLEAN = rf"regexp_replace(regexp_replace(regexp_replace({strip('''regexp_replac
 
 
 @query(
-    rf"""SELECT row_id, regexp_replace(regexp_replace(regexp_replace(lower({_CLEAN}), '\\(?:boxed|text|mathrm)\s*\{{([^{{}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g'), '[{WS[1:-1]}$`''".,;:，。；：]+', '', 'g') AS target
+    rf"""SELECT row_id, regexp_replace(regexp_replace(regexp_replace({lower(_CLEAN)}, '\\(?:boxed|text|mathrm)\s*\{{([^{{}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g'), '[{WS[1:-1]}$`''".,;:，。；：]+', '', 'g') AS target
 FROM problems WHERE answer IS NOT NULL"""
 )
 def target_canonical(spark: SparkSession, folder: str) -> DataFrame:

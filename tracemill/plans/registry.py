@@ -30,6 +30,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def lower(x: str) -> str:
+    """SQL for ``x`` in lower case, letter by letter (the two letters that engines treat differently are replaced first)."""
+    return f"lower(translate({x}, 'İΣ', 'iσ'))"
+
+
 def strip(x: str) -> str:
     """SQL for ``x`` without white space at both ends."""
     return rf"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"

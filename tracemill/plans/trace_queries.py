@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.functions.arrays import or_empty
-from tracemill.functions.parsing import udf_blocks, udf_boxed, udf_logic_blocks, udf_targets
+from tracemill.functions.blocks import udf_blocks, udf_logic_blocks
+from tracemill.functions.parsing import targets, udf_boxed
 from tracemill.functions.text import DEPENDENCY_TOKEN, MATH_SIGN, NON_SUPPORTING_MARKERS, NUMBER, REASONING_MARKERS, STOPWORDS, sentences
 from tracemill.functions.text import strip as stripped
-from tracemill.operators import clusters, compression, contamination, judging, loops, markers, pruning, refinement, selection
-from tracemill.plans.registry import WS, query, strip, table
+from tracemill.operators import clusters, compression, contamination, judging, loops, markers, phrases, pruning, refinement, selection
+from tracemill.sources.stage import staged
+from tracemill.plans.registry import WS, lower, query, strip, table
 
 # --- loops -----------------------------------------------------------------------
 
@@ -19,7 +21,7 @@ _ALNUM = r"[0-9a-zA-Z+\-*/=()\[\]{}^$\\.,:;_]"
 
 def _loop_sql(least: int, line_times: int, words: int, span: int, word_times: int, lines: int) -> str:
     """CTEs that give ``kind`` per generation (``row_id, i, t``)."""
-    skeleton = strip(rf"regexp_replace(regexp_replace(lower(t), '{_ALNUM}', ' ', 'g'), '{WS}+', ' ', 'g')")
+    skeleton = strip(rf"regexp_replace(regexp_replace({lower('t')}, '{_ALNUM}', ' ', 'g'), '{WS}+', ' ', 'g')")
     return rf"""z AS (SELECT row_id, unnest(generate_series(0, len(generations) - 1)) AS i, generations, is_reasoning_complete AS c FROM problems WHERE len(generations) > 0),
 g AS (SELECT row_id, i, generations[i + 1] AS t, coalesce(c[i + 1], false) AS done FROM z),
 l AS (SELECT row_id, i, t, done, list_filter(list_transform(string_split(t, chr(10)), lambda x: {strip('x')}), lambda x: length(x) > 30) AS ls, string_split({skeleton}, ' ') AS ws FROM g),
@@ -223,35 +225,35 @@ def segment_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def trace_targets(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", udf_targets("text").alias("targets"))
+    return table(spark, folder, "documents").select("doc_id", targets("text").alias("targets"))
 
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of a document as blocks, its first sentence as the target."""
-    docs = table(spark, folder, "documents").filter("text IS NOT NULL AND NOT contains(text, 'İ')")
+    docs = table(spark, folder, "documents").filter("text IS NOT NULL")
     lines = F.filter(F.transform(F.split("text", "\n"), stripped), lambda x: x != "")
     return docs.select("doc_id", lines.alias("blocks"), F.slice(sentences("text"), 1, 1).alias("targets")).filter("size(blocks) > 0")
 
 
 def _canonical_sql(x: str) -> str:
     clean = rf"regexp_replace(regexp_replace(regexp_replace({strip(f'''regexp_replace({x}, '(?i)</?think>', '', 'g')''')}, '^[:：=\-{WS[1:-1]}]+', ''), '{WS}+', ' ', 'g'), '^[ \t\r\n.。]+|[ \t\r\n.。]+$', '', 'g')"
-    return rf"regexp_replace(regexp_replace(regexp_replace(lower({clean}), '\\(?:boxed|text|mathrm)\s*\{{([^{{}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g'), '[{WS[1:-1]}$`''\".,;:，。；：]+', '', 'g')"
+    return rf"regexp_replace(regexp_replace(regexp_replace({lower(clean)}, '\\(?:boxed|text|mathrm)\s*\{{([^{{}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g'), '[{WS[1:-1]}$`''\".,;:，。；：]+', '', 'g')"
 
 
 def _tokens_sql(x: str) -> str:
     stop = ", ".join(f"'{w}'" for w in STOPWORDS)
-    return rf"list_filter(list_distinct(regexp_extract_all(regexp_replace(lower({x}), '\\[a-zA-Z]+', ' ', 'g'), '{DEPENDENCY_TOKEN}')), lambda t: t NOT IN ({stop}) AND length(t) > 1)"
+    return rf"list_filter(list_distinct(regexp_extract_all(regexp_replace({lower(x)}, '\\[a-zA-Z]+', ' ', 'g'), '{DEPENDENCY_TOKEN}')), lambda t: t NOT IN ({stop}) AND length(t) > 1)"
 
 
 def _any_sql(x: str, phrases: list[str]) -> str:
-    return "(" + " OR ".join(f"contains(lower({x}), '{p}')" for p in phrases) + ")"
+    return "(" + " OR ".join(f"contains({lower(x)}, '{p}')" for p in phrases) + ")"
 
 
 def _edges_sql() -> str:
     sentence = rf"list_filter(list_transform(string_split_regex(regexp_replace({strip('text')}, '([.!?。！？]){WS}+', '\1' || chr(10), 'g'), '\n+'), lambda s: {strip('s')}), lambda s: s <> '')"
     facts = lambda x: f"{_canonical_sql(x)} AS key, {_tokens_sql(x)} AS tokens, list_distinct(regexp_extract_all({x}, '{NUMBER}')) AS numbers"
     return rf"""d AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS blocks, {sentence}[1] AS target
-  FROM documents WHERE text IS NOT NULL AND NOT contains(text, 'İ')),
+  FROM documents WHERE text IS NOT NULL),
 d1 AS (SELECT * FROM d WHERE len(blocks) > 0),
 b AS (SELECT doc_id, block_id, blocks[block_id + 1] AS t FROM (SELECT doc_id, blocks, unnest(generate_series(0, len(blocks) - 1)) AS block_id FROM d1)),
 bf AS (SELECT doc_id, CAST(block_id AS INT) AS block_id, t, {facts('t')}, {_any_sql('t', REASONING_MARKERS)} OR regexp_matches(t, '{MATH_SIGN}') AS signal, {_any_sql('t', NON_SUPPORTING_MARKERS)} AS marked FROM b),
@@ -426,14 +428,18 @@ def answers_verified(spark: SparkSession, folder: str) -> DataFrame:
     return refinement.verified(rows, "output", "answer").select("selected_id", "is_equivalent")
 
 
-@query()
+@query(f"""WITH {_loop_sql(2000, 5, 50, 10, 6, 20)}, hit AS (SELECT DISTINCT row_id FROM problems p, benchmark_items b WHERE b.problem <> '' AND contains(p.problem, b.problem)),
+f AS (SELECT row_id, count(*) - arg_min(length(t), i) / 10000.0::DOUBLE AS score FROM k WHERE done AND kind = 'Valid' GROUP BY row_id),
+r AS (SELECT row_id, source, score, row_number() OVER (PARTITION BY source ORDER BY score DESC, row_id) AS p, greatest(1, floor(count(*) OVER (PARTITION BY source) * 0.8::DOUBLE)) AS most
+  FROM f JOIN problems USING (row_id) WHERE row_id NOT IN (SELECT row_id FROM hit))
+SELECT row_id, source, score FROM r WHERE p <= most""")
 def high_quality_split(spark: SparkSession, folder: str) -> DataFrame:
     """From raw problems to the high split: contamination out, loops out, then the best share of each source by trace length."""
     problems, bench = table(spark, folder, "problems"), table(spark, folder, "benchmark_items")
-    hits = contamination.containing(problems, bench, "row_id", "problem", "problem", "item_id")
+    hits = phrases.phrase_hits(problems, bench, "row_id", "problem", "problem", "item_id")
     rows = loops.complete_only(contamination.without_matches(problems, hits, "row_id"))
     sound = F.filter(or_empty("generations"), lambda t: t.isNotNull() & (loops.loop_kind(t) == "Valid"))
     rows = rows.withColumn("_sound", sound).filter(F.size("_sound") > 0)
-    rows = rows.withColumn("score", F.size("_sound") - F.length(F.get("_sound", F.lit(0))) / 10000.0)
-    split = selection.top_share(rows, "source", [F.col("score").desc(), F.col("row_id")], 0.8)
+    rows = rows.select("row_id", "source", (F.size("_sound") - F.length(F.get("_sound", F.lit(0))) / 10000.0).alias("score"))
+    split = selection.ranked_share(staged(rows, "sound"), "row_id", "source", [F.col("score").desc()], 0.8, keep=("source", "score"))
     return split.filter("split = 'high'").select("row_id", "source", "score")

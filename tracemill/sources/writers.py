@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 
 def write_json_lines(df: DataFrame, path: str, append: bool = False) -> None:
-    """JSON lines with characters as they are; nulls are left out."""
-    df.write.mode("append" if append else "overwrite").json(path)
+    """JSON lines with characters as they are; null fields are written as null."""
+    df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_parquet(df: DataFrame, path: str, append: bool = False) -> None:
