@@ -20,7 +20,7 @@ from tracemill.functions.text import BLOCK_OPENERS, SENTENCE_END, WHITE
 
 _SPACE = f"[{WHITE}]"
 _SENTENCE = re.compile(SENTENCE_END)
-_OPENER = re.compile("|".join(BLOCK_OPENERS))
+_OPENER = re.compile("|".join(BLOCK_OPENERS), re.ASCII)
 _THINK = re.compile("</?think>", re.I)
 _PARAGRAPH = re.compile(rf"\n{_SPACE}*\n+")
 #: Where a logic block begins besides blank lines, and what ends a part of a long one.

@@ -52,7 +52,7 @@ _SPACE = r"[ \t\n\x0B\f\r]"
 SENTENCE_END = rf"(?<=[.!?。！？]){_SPACE}+|\n+"
 # How a final answer is announced.
 ANNOUNCED = (
-    r"(?i)(?:final\s+answer|answer|therefore|thus|so)\s*(?:is|:|=)?\s*(.+)$",
+    r"(?:final\s+answer|answer|therefore|thus|so)\s*(?:is|:|=)?\s*(.+)$",
     r"(?:答案|最终答案|所以|因此)\s*(?:是|为|:|：)?\s*(.+)$",
 )
 
@@ -144,7 +144,7 @@ def announced_answer(c: Column | str) -> Column:
     last = F.reverse(F.slice(parts, F.greatest(F.size(parts) - 7, F.lit(1)), 8))
 
     def of(sentence: Column) -> Column:
-        own = [clean_target(F.regexp_extract(sentence, p, 1)) for p in ANNOUNCED]
+        own = [clean_target(F.regexp_extract(sentence, "(?id)" + p, 1)) for p in ANNOUNCED]
         return F.when(own[0] != "", own[0]).otherwise(own[1])
 
     found = F.get(F.filter(F.transform(last, of), lambda x: x != ""), F.lit(0))

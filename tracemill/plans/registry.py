@@ -38,3 +38,24 @@ def lower(x: str) -> str:
 def strip(x: str) -> str:
     """SQL for ``x`` without white space at both ends."""
     return rf"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def clean(x: str) -> str:
+    """SQL for a cleaned target."""
+    bare = strip(f"regexp_replace({x}, '(?i)</?think>', '', 'g')")
+    return rf"regexp_replace(regexp_replace(regexp_replace({bare}, '^[:：=\-{WS[1:-1]}]+', ''), '{WS}+', ' ', 'g'), '^[ \t\r\n.。]+|[ \t\r\n.。]+$', '', 'g')"
+
+
+def canonical(x: str) -> str:
+    """SQL for the key of a target."""
+    return rf"regexp_replace(regexp_replace(regexp_replace({lower(clean(x))}, '\\(?:boxed|text|mathrm)\s*\{{([^{{}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g'), '[{WS[1:-1]}$`''\".,;:，。；：]+', '', 'g')"
+
+
+def sentences(x: str) -> str:
+    """SQL for the list of the sentences of a text."""
+    return rf"list_filter(list_transform(string_split_regex(regexp_replace({strip(x)}, '([.!?。！？]){WS}+', '\1' || chr(10), 'g'), '\n+'), lambda s: {strip('s')}), lambda s: s <> '')"
+
+
+def lines(x: str) -> str:
+    """SQL for the list of the lines of a text, stripped, without blank ones."""
+    return f"list_filter(list_transform(string_split({x}, chr(10)), lambda s: {strip('s')}), lambda s: s <> '')"

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tracemill.functions.arrays import or_empty
 from tracemill.functions.blocks import udf_blocks, udf_logic_blocks
 from tracemill.functions.parsing import targets, udf_boxed
-from tracemill.functions.text import DEPENDENCY_TOKEN, MATH_SIGN, NON_SUPPORTING_MARKERS, NUMBER, REASONING_MARKERS, STOPWORDS, sentences
-from tracemill.functions.text import strip as stripped
+from tracemill.functions.text import DEPENDENCY_TOKEN, MATH_SIGN, NON_SUPPORTING_MARKERS, NUMBER, REASONING_MARKERS, STOPWORDS
 from tracemill.operators import clusters, compression, contamination, judging, loops, markers, phrases, pruning, refinement, selection
+from tracemill.plans.block_sql import BLOCKS, BOXES, LOGIC, TARGETS
+from tracemill.plans.registry import WS, canonical, lower, query, strip, table
 from tracemill.sources.stage import staged
-from tracemill.plans.registry import WS, lower, query, strip, table
 
 # --- loops -----------------------------------------------------------------------
 
@@ -212,32 +212,33 @@ def kmeans_cluster_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- blocks and targets ----------------------------------------------------------------
 
+_OUTPUTS = "src AS (SELECT selected_id AS k, output AS t FROM selected WHERE output IS NOT NULL)"
+_DOCS = "src AS (SELECT doc_id AS k, text AS t FROM documents)"
 
-@query()
+
+@query(f"WITH {_OUTPUTS}, {BOXES} SELECT selected_id, coalesce((SELECT list(v ORDER BY i) FROM box WHERE k = selected_id), []) AS boxed FROM selected WHERE output IS NOT NULL")
 def boxed_values(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "selected").filter("output IS NOT NULL").select("selected_id", udf_boxed("output").alias("boxed"))
 
 
-@query()
+@query(f"WITH RECURSIVE {_DOCS}, {BLOCKS} SELECT k AS doc_id, block_id, x AS text FROM block")
 def segment_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", F.posexplode(udf_blocks("text")).alias("block_id", "text"))
 
 
-@query()
-def trace_targets(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", targets("text").alias("targets"))
+@query(f"WITH RECURSIVE {_OUTPUTS}, {LOGIC} SELECT k AS selected_id, block_id, x AS text FROM logic")
+def logic_block_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "selected").filter("output IS NOT NULL")
+    return rows.select("selected_id", F.posexplode(udf_logic_blocks("output")).alias("block_id", "text"))
 
 
-def _blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of a document as blocks, its first sentence as the target."""
-    docs = table(spark, folder, "documents").filter("text IS NOT NULL")
-    lines = F.filter(F.transform(F.split("text", "\n"), stripped), lambda x: x != "")
-    return docs.select("doc_id", lines.alias("blocks"), F.slice(sentences("text"), 1, 1).alias("targets")).filter("size(blocks) > 0")
+@query(f"WITH src AS (SELECT selected_id AS k, coalesce(output, '') AS t FROM selected WHERE status = 'ok'), {TARGETS} SELECT k AS selected_id, targets FROM goal")
+def trace_targets(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "selected").filter("status = 'ok'").select("selected_id", targets("output").alias("targets"))
 
 
-def _canonical_sql(x: str) -> str:
-    clean = rf"regexp_replace(regexp_replace(regexp_replace({strip(f'''regexp_replace({x}, '(?i)</?think>', '', 'g')''')}, '^[:：=\-{WS[1:-1]}]+', ''), '{WS}+', ' ', 'g'), '^[ \t\r\n.。]+|[ \t\r\n.。]+$', '', 'g')"
-    return rf"regexp_replace(regexp_replace(regexp_replace({lower(clean)}, '\\(?:boxed|text|mathrm)\s*\{{([^{{}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g'), '[{WS[1:-1]}$`''\".,;:，。；：]+', '', 'g')"
+def _any_sql(x: str, phrases: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({lower(x)}, '{p}')" for p in phrases) + ")"
 
 
 def _tokens_sql(x: str) -> str:
@@ -245,44 +246,42 @@ def _tokens_sql(x: str) -> str:
     return rf"list_filter(list_distinct(regexp_extract_all(regexp_replace({lower(x)}, '\\[a-zA-Z]+', ' ', 'g'), '{DEPENDENCY_TOKEN}')), lambda t: t NOT IN ({stop}) AND length(t) > 1)"
 
 
-def _any_sql(x: str, phrases: list[str]) -> str:
-    return "(" + " OR ".join(f"contains({lower(x)}, '{p}')" for p in phrases) + ")"
+def _facts_sql(x: str) -> str:
+    return f"{canonical(x)} AS key, {_tokens_sql(x)} AS tokens, list_distinct(regexp_extract_all({x}, '{NUMBER}')) AS numbers"
 
 
-def _edges_sql() -> str:
-    sentence = rf"list_filter(list_transform(string_split_regex(regexp_replace({strip('text')}, '([.!?。！？]){WS}+', '\1' || chr(10), 'g'), '\n+'), lambda s: {strip('s')}), lambda s: s <> '')"
-    facts = lambda x: f"{_canonical_sql(x)} AS key, {_tokens_sql(x)} AS tokens, list_distinct(regexp_extract_all({x}, '{NUMBER}')) AS numbers"
-    return rf"""d AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS blocks, {sentence}[1] AS target
-  FROM documents WHERE text IS NOT NULL),
-d1 AS (SELECT * FROM d WHERE len(blocks) > 0),
-b AS (SELECT doc_id, block_id, blocks[block_id + 1] AS t FROM (SELECT doc_id, blocks, unnest(generate_series(0, len(blocks) - 1)) AS block_id FROM d1)),
-bf AS (SELECT doc_id, CAST(block_id AS INT) AS block_id, t, {facts('t')}, {_any_sql('t', REASONING_MARKERS)} OR regexp_matches(t, '{MATH_SIGN}') AS signal, {_any_sql('t', NON_SUPPORTING_MARKERS)} AS marked FROM b),
-tf AS (SELECT doc_id, {facts('target')} FROM d1),
-e AS (SELECT bf.doc_id, block_id, bf.t, coalesce((tf.key <> '' AND contains(bf.key, tf.key)) OR (NOT (marked OR (len(bf.tokens) <= 1 AND NOT regexp_matches(t, '\\boxed|\d|[=<>]'))) AND signal AND (
+#: ``st``: statistics of each text with blocks and targets; ``e``: which block supports which target; ``bad``: what is missing elsewhere.
+_SUPPORT = rf"""src AS (SELECT selected_id AS k, coalesce(output, '') AS t FROM selected WHERE status = 'ok'), {TARGETS}, {BLOCKS},
+bf AS (SELECT k, block_id, x, {_facts_sql('x')}, {_any_sql('x', REASONING_MARKERS)} OR regexp_matches(x, '{MATH_SIGN}') AS signal, {_any_sql('x', NON_SUPPORTING_MARKERS)} AS marked FROM block),
+tf AS (SELECT k, target, x, {_facts_sql('x')} FROM (SELECT k, CAST(j - 1 AS INT) AS target, targets[j] AS x FROM (SELECT k, targets, unnest(generate_series(1, len(targets))) AS j FROM goal))),
+e AS (SELECT bf.k, block_id, target FROM bf JOIN tf USING (k) WHERE (tf.key <> '' AND contains(bf.key, tf.key)) OR (NOT (marked OR (len(bf.tokens) <= 1 AND NOT regexp_matches(bf.x, '\\boxed|\d|[=<>]'))) AND signal AND (
    (len(tf.tokens) > 0 AND (len(list_intersect(tf.tokens, bf.tokens)) = len(tf.tokens) OR len(list_intersect(tf.tokens, bf.tokens)) >= 2))
-   OR (len(tf.numbers) > 0 AND len(list_intersect(tf.numbers, bf.numbers)) = len(tf.numbers)))), false) AS supports FROM bf JOIN tf USING (doc_id)),
-st AS (SELECT doc_id, CAST(count(*) AS INT) AS num_blocks, CAST(count_if(supports) AS INT) AS num_supporting, CAST(count_if(supports) AS DOUBLE) / count(*) AS compression_ratio_blocks,
-  CASE WHEN bool_or(supports) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target_coverage,
-  CAST(sum(len(regexp_extract_all(t, '\S+'))) AS INT) AS num_tokens_total, CAST(coalesce(sum(len(regexp_extract_all(t, '\S+'))) FILTER (supports), 0) AS INT) AS num_tokens_supporting FROM e GROUP BY doc_id)"""
+   OR (len(tf.numbers) > 0 AND len(list_intersect(tf.numbers, bf.numbers)) = len(tf.numbers))))),
+w AS (SELECT k, block_id, len(regexp_extract_all(x, '\S+')) AS n, EXISTS (SELECT 1 FROM e WHERE e.k = block.k AND e.block_id = block.block_id) AS kept FROM block),
+st AS (SELECT k, CAST(count(*) AS INT) AS num_blocks, CAST(count_if(kept) AS INT) AS num_supporting, CAST(count_if(kept) AS DOUBLE) / count(*) AS compression_ratio_blocks,
+  CAST(sum(n) AS INT) AS num_tokens_total, CAST(coalesce(sum(n) FILTER (kept), 0) AS INT) AS num_tokens_supporting,
+  coalesce((SELECT CAST(count(DISTINCT target) AS DOUBLE) FROM e WHERE e.k = w.k) / nullif((SELECT len(targets) FROM goal WHERE goal.k = w.k), 0), 0.0::DOUBLE) AS target_coverage FROM w GROUP BY k)"""
+
+
+def _traces(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.compressed(table(spark, folder, "selected").filter("status = 'ok'"), "selected_id", "output")
 
 
 def _stats(spark: SparkSession, folder: str) -> DataFrame:
-    rows = compression.labelled(_blocks(spark, folder), F.col("blocks"), F.col("targets"))
-    return compression.statistics(rows, F.col("blocks"), F.col("targets"))
+    return _traces(spark, folder).filter("num_blocks > 0")
 
 
-@query(f"WITH {_edges_sql()} SELECT doc_id, block_id, 0 AS target FROM e WHERE supports")
+@query(f"WITH RECURSIVE {_SUPPORT} SELECT k AS selected_id, block_id, target FROM e")
 def block_target_edges(spark: SparkSession, folder: str) -> DataFrame:
-    rows = compression.label_parts(compression.labelled(_blocks(spark, folder), F.col("blocks"), F.col("targets")))
-    return rows.select("doc_id", F.explode("dependency_graph").alias("e")).select("doc_id", F.col("e.block").alias("block_id"), "e.target")
+    return _traces(spark, folder).select("selected_id", F.explode("dependency_graph").alias("e")).select("selected_id", F.col("e.block").alias("block_id"), "e.target")
 
 
-@query(f"WITH {_edges_sql()} SELECT doc_id, num_blocks, num_supporting, compression_ratio_blocks, target_coverage, num_tokens_total, num_tokens_supporting FROM st")
+@query(f"WITH RECURSIVE {_SUPPORT} SELECT k AS selected_id, num_blocks, num_supporting, compression_ratio_blocks, target_coverage, num_tokens_total, num_tokens_supporting FROM st")
 def compression_stats_per_doc(spark: SparkSession, folder: str) -> DataFrame:
-    return _stats(spark, folder).select("doc_id", "num_blocks", "num_supporting", "compression_ratio_blocks", "target_coverage", "num_tokens_total", "num_tokens_supporting")
+    return _stats(spark, folder).select("selected_id", "num_blocks", "num_supporting", "compression_ratio_blocks", "target_coverage", "num_tokens_total", "num_tokens_supporting")
 
 
-@query(f"""WITH {_edges_sql()}, l AS (SELECT list_sort(list(compression_ratio_blocks)) AS l, count(*) AS n FROM st)
+@query(f"""WITH RECURSIVE {_SUPPORT}, l AS (SELECT list_sort(list(compression_ratio_blocks)) AS l, count(*) AS n FROM st)
 SELECT count(*) AS n, round(avg(compression_ratio_blocks), 9) AS mean_ratio, quantile_cont(compression_ratio_blocks, 0.5) AS median_ratio, round(avg(target_coverage), 9) AS mean_coverage, avg(num_blocks) AS mean_blocks,
   count_if(compression_ratio_blocks >= 0.99) AS all_supporting, count_if(compression_ratio_blocks <= 0.01) AS none_supporting, count_if(compression_ratio_blocks < 0.2) AS very_high, count_if(compression_ratio_blocks > 0.9) AS very_low,
   any_value(l.l[1 + CAST(least(floor(l.n * 10 / 100.0), l.n - 1) AS BIGINT)]) AS p10, any_value(l.l[1 + CAST(least(floor(l.n * 90 / 100.0), l.n - 1) AS BIGINT)]) AS p90, any_value(l.l[1 + l.n // 2]) AS upper_median FROM st, l""")
@@ -295,23 +294,25 @@ def _bins_sql(x: str, edges: list, shape: str, last: str) -> str:
     return "CASE " + " ".join(f"WHEN {x} >= {a} AND {x} < {b} THEN '{shape.format(a, b)}'" for a, b in zip(edges, edges[1:], strict=False)) + f" ELSE '{last}' END"
 
 
-@query(f"""WITH {_edges_sql()} SELECT kind, bin, count(*) AS n FROM (
+@query(f"""WITH RECURSIVE {_SUPPORT} SELECT kind, bin, count(*) AS n FROM (
   SELECT 'ratio' AS kind, {_bins_sql('compression_ratio_blocks', compression.RATIO_EDGES, '{:.1f}-{:.1f}', '1.0')} AS bin FROM st
   UNION ALL SELECT 'blocks', {_bins_sql('num_blocks', compression.BLOCK_EDGES, '{}-{}', '100+')} FROM st) GROUP BY ALL""")
 def compression_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return compression.histograms(_stats(spark, folder))
 
 
-@query(f"""WITH {_edges_sql()}, a AS (SELECT 'very_high_compression' AS kind, doc_id FROM st WHERE compression_ratio_blocks < 0.1 UNION ALL SELECT 'very_low_compression', doc_id FROM st WHERE compression_ratio_blocks > 0.95
-  UNION ALL SELECT 'zero_supporting', doc_id FROM st WHERE num_supporting = 0 UNION ALL SELECT 'full_supporting', doc_id FROM st WHERE num_supporting = num_blocks)
-SELECT kind, count(*) AS n, list_sort(list(doc_id))[1:10] AS first_keys FROM a GROUP BY kind""")
+@query(f"""WITH RECURSIVE {_SUPPORT}, a AS (SELECT 'very_high_compression' AS kind, k FROM st WHERE compression_ratio_blocks < 0.1 UNION ALL SELECT 'very_low_compression', k FROM st WHERE compression_ratio_blocks > 0.95
+  UNION ALL SELECT 'zero_supporting', k FROM st WHERE num_supporting = 0 UNION ALL SELECT 'full_supporting', k FROM st WHERE num_supporting = num_blocks)
+SELECT kind, count(*) AS n, list_sort(list(k))[1:10] AS first_keys FROM a GROUP BY kind""")
 def compression_anomalies(spark: SparkSession, folder: str) -> DataFrame:
-    return compression.anomalies(_stats(spark, folder), "doc_id")
+    return compression.anomalies(_stats(spark, folder), "selected_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_SUPPORT} SELECT src.k AS selected_id, CASE WHEN {strip('t')} = '' THEN 'empty_cot' WHEN len(targets) = 0 THEN 'empty_target' WHEN st.k IS NULL THEN 'empty_blocks' END AS error,
+  CAST(len(targets) AS INT) AS num_targets, coalesce(num_blocks, 0) AS num_blocks, coalesce((SELECT list(DISTINCT block_id ORDER BY block_id) FROM e WHERE e.k = src.k), []) AS supporting_blocks,
+  coalesce((SELECT list(block_id ORDER BY block_id) FROM w WHERE w.k = src.k AND NOT kept), []) AS redundant_blocks FROM src JOIN goal USING (k) LEFT JOIN st USING (k)""")
 def compressed_traces(spark: SparkSession, folder: str) -> DataFrame:
-    return compression.compressed(table(spark, folder, "selected").filter("status = 'ok'"), "selected_id", "output")
+    return _traces(spark, folder).select("selected_id", "error", "num_targets", "num_blocks", "supporting_blocks", "redundant_blocks")
 
 
 @query("SELECT coalesce(error, 'unknown') AS type, count(*) AS n FROM selected WHERE status <> 'ok' GROUP BY ALL")
