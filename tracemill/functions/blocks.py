@@ -126,8 +126,9 @@ def logic_blocks(text: str | None, most: int = 900, least: int = 180) -> list[st
 
 
 #: What the form of a block is made of: commands, formula marks, numbers, words, everything else.
-_FORM = re.compile(r"\\[a-z]+|\$+|\\[()\[\]]|[-+]?[0-9]+(?:\.[0-9]+)?|[^\W0-9]+|.", re.S)
+_FORM = re.compile(r"\\[a-z]+|\$+|\\[()\[\]]|[-+]?\d+(?:\.\d+)?|[^\W\d]+|.", re.S)
 _NAME = re.compile("[a-z_]+")
+_LETTERS = str.maketrans("İΣ", "iσ")
 
 
 def form(text: str) -> str:
@@ -136,9 +137,11 @@ def form(text: str) -> str:
     def shown(token: str) -> str:
         if _NAME.fullmatch(token):
             return "VAR" if len(token) > 1 or token == "_" else " "
-        return " " if token[0] in "\\$0123456789" and token != "\\" or len(token) > 1 and token[0] in "+-" else token
+        dropped = token[0] == "$" or token[0].isdecimal() or len(token) > 1 and token[0] in "\\+-"
+        return " " if dropped else token
 
-    return " ".join("".join(map(shown, _FORM.findall(text.lower()))).split())
+    low = text.translate(_LETTERS).lower()
+    return " ".join(p for p in re.split(f"{_SPACE}+", "".join(map(shown, _FORM.findall(low)))) if p)
 
 
 def form_similarity(left: str, right: str) -> float:

@@ -13,6 +13,21 @@ def perplexity(mean_loss: Column) -> Column:
     return F.exp(mean_loss)
 
 
+def sequence_perplexity(losses: Column) -> Column:
+    """Difficulty to learn of a text from the losses of its tokens; null entries (positions without a target) don't count."""
+    kept = F.filter(losses, lambda x: x.isNotNull())
+    total = F.aggregate(kept, F.lit(0.0), lambda acc, x: acc + x)
+    return perplexity(F.try_divide(total, F.size(kept)))
+
+
+def mean_pooled(states: Column, mask: Column | None = None) -> Column:
+    """The mean of the states of a text's tokens (an array of equally long arrays), over those that ``mask`` keeps; null without any."""
+    kept = states if mask is None else F.filter(states, lambda _, i: F.coalesce(F.get(mask, i), F.lit(False)))
+    width = F.size(F.get(kept, F.lit(0)))
+    mean = F.transform(F.sequence(F.lit(0), width - 1), lambda j: F.aggregate(kept, F.lit(0.0), lambda acc, x: acc + F.get(x, j)) / F.size(kept))
+    return F.when((F.size(kept) > 0) & (width > 0), mean)
+
+
 def fit_kmeans(df: DataFrame, embedding: str, k: int = 40, seed: int = 42, rounds: int = 20) -> KMeansModel | None:
     """Distributed k-means over the rows that have an embedding; None if no row has."""
     rows = df.filter(F.col(embedding).isNotNull()).select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features"))

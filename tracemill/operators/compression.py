@@ -86,6 +86,7 @@ def statistics(df: DataFrame, blocks: Column, targets: Column, digits: int | Non
             "compression_ratio_blocks": shown(ratio(k, n)), "num_tokens_total": total, "num_tokens_supporting": part,
             "compression_ratio_tokens": shown(ratio(part, total)), "target_coverage": shown(ratio(known, F.size(targets))),
             "dependency_open": n - F.size(F.array_distinct(F.transform(labels, lambda x: x["block_id"]))),
+            "dependency_open_rate": shown(ratio(n - F.size(F.array_distinct(F.transform(labels, lambda x: x["block_id"]))), n)),
         }
     )
 
@@ -126,8 +127,31 @@ def all_target_edges(supporting: Column, targets: Column) -> Column:
     return F.flatten(F.transform(supporting, lambda b: F.transform(targets, lambda t: F.struct(b.alias("block"), t.alias("target")))))
 
 
+# The fields that a payload must have.
+REQUIRED = ["sample_id", "targets", "blocks", "block_labels", "dependency_graph", "redundant_blocks", "supporting_blocks", "statistics"]
+
+
+def missing_fields(df: DataFrame) -> Column:
+    """The required fields that a payload lacks (no column or null), by name."""
+    return F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) if c in df.columns else F.lit(c) for c in sorted(REQUIRED)]), lambda x: x.isNotNull())
+
+
+def short_statistics(blocks: Column, supporting: Column, digits: int = 4) -> Column:
+    """Statistics of the short form of labelling, where every supporting block goes with every target: coverage is 1 as soon as there is one, and no block is open."""
+    own = F.array_intersect(F.coalesce(supporting, _ints()), F.sequence(F.lit(0), F.greatest(F.size(blocks) - 1, F.lit(0))))
+    n, k = F.size(blocks), F.when(F.size(blocks) > 0, F.size(own)).otherwise(0)
+    words = F.transform(blocks, lambda b: word_count(b))
+    add = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
+    ratio = lambda a, b: F.round(F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0)), digits)
+    part = add(F.transform(own, lambda i: F.coalesce(F.get(words, i), F.lit(0))))
+    return F.struct(
+        n.alias("num_blocks"), k.alias("num_supporting"), (n - k).alias("num_redundant"), ratio(k, n).alias("compression_ratio_blocks"), ratio(part, add(words)).alias("compression_ratio_tokens"),
+        F.when(k > 0, 1.0).otherwise(0.0).alias("target_coverage"), F.lit(0).alias("dependency_open"), F.lit(0.0).alias("dependency_open_rate"),
+    )
+
+
 def violations(labels: Column, block_ids: Column, target_ids: Column) -> Column:
-    """What is wrong with a payload: the kinds of violation, in a fixed order; an empty array for a sound one."""
+    """What is wrong with the labels of a payload: the kinds of violation, in a fixed order; an empty array for sound ones."""
     bad = {
         "unknown_block": lambda x: ~F.array_contains(block_ids, x["block_id"]),
         "bad_type": lambda x: ~x["type"].isin("SUPPORTING", "NON_SUPPORTING"),

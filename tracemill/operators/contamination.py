@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import lower, normalize_answer
+from tracemill.operators import prompts
+from tracemill.operators.model_calls import Backend, ask
 from tracemill.operators.phrases import phrase_hits
+from tracemill.sources.stage import staged
 
 Judge = Callable[[DataFrame], DataFrame]
 
@@ -41,6 +44,17 @@ def word_overlap_judge(share: float = 0.5) -> Judge:
     return run
 
 
+def asked_judge(backend: Backend, key: str) -> Judge:
+    """A judge that asks a model about each pair whether both are the same problem; a failed call is a no."""
+
+    def run(pairs: DataFrame) -> DataFrame:
+        own = staged(pairs.withColumn("_key", F.concat_ws("/", key, "item_id")), "pairs")
+        said = prompts.replies(ask(prompts.requests(own, "same_problem", "_key", problem=F.col("problem"), item_problem=F.col("item_problem")), backend, name="same"), "same_problem")
+        return own.join(said.filter(prompts.says_yes(F.col("value"))).select(F.col("key").alias("_key")), "_key", "left_semi").drop("_key")
+
+    return run
+
+
 def without_matches(train: DataFrame, matches: DataFrame, key: str) -> DataFrame:
     """The rows that no match names; a row without a key stays."""
     return train.join(matches.select(key).distinct(), key, "left_anti")

@@ -70,6 +70,11 @@ def question_text(df: DataFrame) -> Column:
     return F.coalesce(first_non_blank(*[f for f in QUESTION_FIELDS if f in df.columns]), F.lit(""))
 
 
+def benchmark_question(df: DataFrame) -> Column:
+    """The question of a benchmark: the column ``problem`` if the table has one, else ``question``."""
+    return F.col("problem" if "problem" in df.columns else "question")
+
+
 def final_answer(answer: Column, text: Column) -> Column:
     """The answer if there is one, else the first box of the text, else ''."""
     return F.coalesce(first_non_blank(answer), F.get(udf_boxed(text), F.lit(0)), F.lit(""))

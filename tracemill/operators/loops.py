@@ -66,10 +66,10 @@ def _unzipped(rows: DataFrame) -> DataFrame:
     ).drop("_z")
 
 
-def loop_requests(df: DataFrame, key: str) -> DataFrame:
+def loop_requests(df: DataFrame, key: str, **limits: int) -> DataFrame:
     """The complete generations that loop, folded for a rewriting model: ``key, i, kind, pre_length, folded``."""
     rows = zipped_generations(df).select(key, F.explode(F.filter("_z", lambda g: g["done"] & g["text"].isNotNull())).alias("g"))
-    kind = loop_kind(F.col("g.text"))
+    kind = loop_kind(F.col("g.text"), **limits)
     return rows.withColumn("kind", kind).filter(F.col("kind") != "Valid").select(key, "g.i", "kind", F.length("g.text").cast("bigint").alias("pre_length"), folded(F.col("g.text")).alias("folded"))
 
 

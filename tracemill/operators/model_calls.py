@@ -21,12 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.parsing import udf_json
-from tracemill.functions.text import middle_out
 from tracemill.sources.stage import staged
 
 Backend = Callable[[str, str], str]
 
 
+# Seconds to wait after a failure, by its kind, in general and for the pairwise judge.
+WAITS = (("timeout", 30.0), ("connection", 10.0), ("429", 30.0), ("other", 5.0))
+JUDGE_WAITS = (("timeout", 3.0), ("connection", 5.0), ("http", 2.0), ("429", 2.0), ("other", 1.0))
+
+
 @dataclass(frozen=True)
 class HttpBackend:
     """A chat-completions endpoint. Defaults as in the pipelines: temperature 0, 4096 tokens, 120 s, 3 tries."""
@@ -38,27 +42,41 @@ class HttpBackend:
     max_tokens: int = 4096
     timeout: float = 120.0
     tries: int = 3
-    waits: tuple[tuple[str, float], ...] = (("timeout", 30.0), ("connection", 10.0), ("429", 30.0), ("other", 5.0))
+    waits: tuple[tuple[str, float], ...] = WAITS
+    #: Whether a wait grows with the number of the try, and the longest one.
+    growing: bool = True
+    longest: float = 600.0
+    #: An endpoint for plain completions, used once the chat endpoint says that the model is none for chat.
+    completions: str = ""
+
+    def _asked(self, prompt: str, chat: bool) -> str:
+        own = {"messages": [{"role": "user", "content": prompt}]} if chat else {"prompt": flat_messages([{"role": "user", "content": prompt}])}
+        body = {"model": self.model, "temperature": self.temperature, "max_tokens": self.max_tokens} | own
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        request = urllib.request.Request(self.url if chat else self.completions, json.dumps(body).encode(), headers)
+        with urllib.request.urlopen(request, timeout=self.timeout) as reply:
+            return reply_text(json.load(reply))
 
     def __call__(self, prompt: str, kind: str) -> str:
-        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": self.temperature, "max_tokens": self.max_tokens}
-        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
-        request = urllib.request.Request(self.url, json.dumps(body).encode(), headers)
-        last = ""
-        for attempt in range(1, self.tries + 1):
+        last, chat, attempt = "", True, 1
+        while attempt <= self.tries:
             try:
-                with urllib.request.urlopen(request, timeout=self.timeout) as reply:
-                    return reply_text(json.load(reply))
+                return self._asked(prompt, chat)
             except TimeoutError:
                 last = "timeout"
             except urllib.error.HTTPError as e:
-                last = "429" if e.code == 429 else "other"
-            except urllib.error.URLError:
-                last = "connection"
+                if chat and self.completions and not_for_chat(e.code, e.read().decode(errors="replace")):
+                    chat = False
+                    continue
+                last = "429" if e.code == 429 else "http"
+            except urllib.error.URLError as e:
+                last = "timeout" if isinstance(e.reason, TimeoutError) else "connection"
             except (ValueError, KeyError, IndexError):
                 last = "other"
             if attempt < self.tries:
-                time.sleep(dict(self.waits)[last] * attempt)
+                wait = dict(self.waits).get(last, dict(self.waits)["other"])
+                time.sleep(min(self.longest, wait * (attempt if self.growing else 1)))
+            attempt += 1
         raise RuntimeError(f"no reply after {self.tries} tries: {last}")
 
 
@@ -69,6 +87,17 @@ def reply_text(data: dict) -> str:
     return "".join(p.get("text", "") for p in content) if isinstance(content, list) else content or ""
 
 
+def flat_messages(messages: list[dict]) -> str:
+    """A conversation as one text for a completion, ending where the reply begins."""
+    return "\n\n".join([*(f"{m['role'].upper()}:\n{m['content']}" for m in messages), "ASSISTANT:\n"])
+
+
+def not_for_chat(code: int, message: str) -> bool:
+    """Whether an error says that the model has no chat endpoint."""
+    low = message.lower()
+    return code in (400, 404, 405) and ("not a chat model" in low or "chat template" in low or "v1/completions" in low)
+
+
 def joined_stream(parts: Iterator[dict]) -> str:
     """The text of a reply that came in pieces."""
     return "".join(reply_text(p) for p in parts if p.get("choices"))
@@ -119,7 +148,7 @@ def error_type(error: Column | str) -> Column:
     )
 
 
-def template(text: str, **columns: Column) -> Column:
+def template(text: str, /, **columns: Column) -> Column:
     """A prompt from a template with ``{name}`` places; doubled braces are single ones."""
     parts, at = [], 0
     for m in re.finditer(r"\{\{|\}\}|\{(\w+)\}", text):
@@ -131,23 +160,24 @@ def template(text: str, **columns: Column) -> Column:
     return F.concat(*parts, F.lit(text[at:]))
 
 
-def judge_requests(pairs: DataFrame, text: str) -> DataFrame:
-    """Requests of the pairwise judge from ``problem_hash, problem, cot_a, cot_b, label_a, label_b``."""
-    own = {c: F.col(c) for c in ("problem", "cot_a", "cot_b", "label_a", "label_b")}
-    return pairs.select(F.col("problem_hash").alias("key"), template(text, **own).alias("prompt"), F.lit("judge").alias("kind"))
-
+def ask_validated(requests: DataFrame, backend: Backend, schema: str, wrong: Callable[[Column], Column], rounds: int = 3, **how) -> DataFrame:
+    """``(key, value, error)``: replies that parse and of which ``wrong(value)`` (null or the name of a fault) finds nothing; others are asked again, in up to ``rounds`` rounds.
 
-def critic_requests(rows: DataFrame, key: str, text: str, most: int = 3000) -> DataFrame:
-    """Requests of the critic; only the first ``most`` characters of the trace go into the prompt."""
-    own = {"instruction": F.col("instruction"), "output": F.substring("output", 1, most), "answer": F.col("answer")}
-    return rows.select(F.col(key).cast("string").alias("key"), template(text, **own).alias("prompt"), F.lit("critic").alias("kind"))
-
-
-def label_requests(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Requests of the dependency labeller from ``blocks`` and ``targets``; long blocks keep both ends."""
-    parts = F.transform("blocks", lambda b, i: F.concat(F.lit("[BLOCK "), i.cast("string"), F.lit("]\n"), middle_out(b)))
-    own = {"blocks": F.array_join(parts, "\n\n"), "targets": F.to_json("targets")}
-    return rows.select(F.col(key).cast("string").alias("key"), template(text, **own).alias("prompt"), F.lit("label").alias("kind"))
+    Each round asks only what is still open; what a last round leaves open
+    keeps its error.
+    """
+    open_, done = requests, None
+    for i in range(rounds):
+        got = parsed(ask(open_, backend, name=f"round{i}", **how), schema)
+        fault = wrong(F.col("value"))
+        got = staged(got.select("key", "value", F.when(F.col("error").isNotNull(), F.col("error")).when(fault.isNotNull(), F.concat(F.lit("validation failed: "), fault)).alias("error")), "checked")
+        last = i == rounds - 1
+        good = got if last else got.filter("error IS NULL")
+        done = good if done is None else done.unionByName(good)
+        if last or not got.filter("error IS NOT NULL").limit(1).count():
+            return done
+        open_ = requests.join(got.filter("error IS NOT NULL").select("key"), "key", "left_semi")
+    return done
 
 
 def attach(items: DataFrame, key: str, judged: DataFrame) -> tuple[DataFrame, DataFrame]:

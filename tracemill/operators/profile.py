@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +12,26 @@ from tracemill.functions.percentiles import at_index, index_floor, index_round,
 from tracemill.functions.text import non_blank, strip, think_text
 
 
-def _length(c: Column | str, unit: str) -> Column:
+#: A tokenizer that needs no vocabulary: runs of letters and digits, and every other character that isn't white space.
+WORD_PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
+Tokenizer = Callable[[Column], Column]
+
+
+def word_pieces(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD_PIECES))
+
+
+def _length(c: Column | str, unit: str | Tokenizer) -> Column:
+    """``unit``: ``words``, ``chars``, or a tokenizer: a function from a text column to its number of tokens (a built-in expression or a vectorised function)."""
     text = F.col(c) if isinstance(c, str) else c
+    if callable(unit):
+        return unit(text).cast("bigint")
     if unit == "words":
         return F.regexp_count(text, F.lit(r"\S+")).cast("bigint")
     return F.length(text).cast("bigint")
 
 
-def length_profile(df: DataFrame, text: str, unit: str = "words") -> DataFrame:
+def length_profile(df: DataFrame, text: str, unit: str | Tokenizer = "words") -> DataFrame:
     """Number, mean, interpolated percentiles 50 to 99 and maximum of the lengths; null texts don't count.
 
     An empty table gives one row with 0 and nulls.
@@ -27,7 +41,7 @@ def length_profile(df: DataFrame, text: str, unit: str = "words") -> DataFrame:
     return n.agg(F.count("n").alias("n"), F.avg("n").alias("mean"), *[c.cast("double").alias(k) for k, c in shares.items()], F.max("n").alias("longest"))
 
 
-def length_profile_index(df: DataFrame, text: str, unit: str = "words") -> DataFrame:
+def length_profile_index(df: DataFrame, text: str, unit: str | Tokenizer = "words") -> DataFrame:
     """Maximum, mean, the values at index floor(n p) and the cut-off rounded up to the next multiple of 512."""
     n = df.select(_length(text, unit).alias("n")).filter(F.col("n").isNotNull())
     at = at_index(n, "n", {"p90": index_floor(0.9), "p95": index_floor(0.95), "p99": index_floor(0.99)})

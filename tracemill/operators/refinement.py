@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.parsing import udf_last_boxed
+from tracemill.operators.answers import same_number
 
 # All outcomes of a rewriting.
 PATHS = ["A", "B", "C_Success", "C_Fail", "D", "Error"]
@@ -19,16 +20,15 @@ def answers_equal(truth: Column, found: Column) -> Column:
     return (bare(truth) == bare(found)) | ((F.length(bare(truth)) > 0) & F.contains(bare(found), bare(truth)))
 
 
-def verified(df: DataFrame, text: str, truth: str, symbolic: Callable[[Column, Column], Column] | None = None, judged: DataFrame | None = None, key: str = "") -> DataFrame:
-    """A column ``is_equivalent``: symbolic comparison if there is one, then strings, then a judge's verdicts ``(key, is_equivalent)``.
+def verified(df: DataFrame, text: str, truth: str, symbolic: Callable[[Column, Column], Column] = same_number, judged: DataFrame | None = None, key: str = "") -> DataFrame:
+    """A column ``is_equivalent``: comparison as numbers (or by another ``symbolic``), then strings, then a judge's verdicts ``(key, is_equivalent)``.
 
     A stage is asked only where the ones before it failed; without verdict it
     is false.
     """
     rows = df.withColumn("_found", udf_last_boxed(text))
     ok = answers_equal(F.col(truth), F.col("_found"))
-    if symbolic is not None:
-        ok = F.coalesce(symbolic(F.col(truth), F.col("_found")), F.lit(False)) | ok
+    ok = F.coalesce(symbolic(F.col(truth), F.col("_found")), F.lit(False)) | ok
     if judged is not None:
         rows = rows.join(judged.select(key, F.col("is_equivalent").alias("_verdict")), key, "left")
         ok = ok | F.coalesce("_verdict", F.lit(False))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracemill.sources.readers import numbered
 from tracemill.sources.stage import staged
 
 
@@ -43,6 +44,11 @@ def stratified_sample(df: DataFrame, n: int, strata: int, key: str, seed: int =
     return drawn.filter(F.col("_r") <= quota).select(*df.columns, "stratum")
 
 
+def any_rows(df: DataFrame, n: int) -> DataFrame:
+    """``n`` rows (all, if there are fewer) drawn anew on every run."""
+    return df.orderBy(F.rand()).limit(n)
+
+
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
     """The first rows in a given order."""
     return df.orderBy(*order).limit(n)
@@ -55,11 +61,11 @@ def first_usable(df: DataFrame, n: int, usable: Column, *order: str) -> DataFram
 
 def record_at(df: DataFrame, index: int, *order: str) -> DataFrame:
     """The record at a position from 0 in the given order; an error if there is none."""
-    rows = df.orderBy(*order).limit(index + 1)
-    n = rows.count()
-    if index < 0 or n <= index:
-        raise IndexError(f"record {index} of {n}")
-    return rows.orderBy(*[F.col(c).desc() for c in order]).limit(1)
+    rows = numbered(df, *order)
+    found = rows.filter(F.col("index") == index).drop("index")
+    if index < 0 or not found.limit(1).count():
+        raise IndexError(f"record {index} of {rows.count()}")
+    return found
 
 
 def long_record(df: DataFrame, text: str, order: str, least: int) -> DataFrame:

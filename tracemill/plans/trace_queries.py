@@ -9,7 +9,7 @@ from tracemill.functions.arrays import or_empty
 from tracemill.functions.blocks import udf_blocks, udf_logic_blocks
 from tracemill.functions.parsing import targets, udf_boxed
 from tracemill.functions.text import DEPENDENCY_TOKEN, MATH_SIGN, NON_SUPPORTING_MARKERS, NUMBER, REASONING_MARKERS, STOPWORDS
-from tracemill.operators import clusters, compression, contamination, judging, loops, markers, phrases, pruning, refinement, selection
+from tracemill.operators import clusters, compression, contamination, judging, loops, phrases, pruning, refinement, selection
 from tracemill.plans.block_sql import BLOCKS, BOXES, LOGIC, TARGETS
 from tracemill.plans.registry import WS, canonical, lower, query, strip, table
 from tracemill.sources.stage import staged
@@ -320,51 +320,6 @@ def failure_breakdown(spark: SparkSession, folder: str) -> DataFrame:
     return compression.failure_kinds(table(spark, folder, "selected").filter("status <> 'ok'"), "error")
 
 
-_FAULTS = [
-    (1, [(0, "SUPPORTING", [0]), (1, "NON_SUPPORTING", [])], []),
-    (2, [(0, "SUPPORTING", []), (5, "NON_SUPPORTING", [])], ["unknown_block", "type_without_supports"]),
-    (3, [(1, "NON_SUPPORTING", [0])], ["supports_without_type"]),
-    (4, [(1, "OTHER", [7])], ["bad_type", "unknown_target"]),
-]
-_FAULT_ROWS = " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS sample_id, CAST({f!r} AS VARCHAR[]) AS found" for i, _, f in _FAULTS)
-
-
-@query(_FAULT_ROWS)
-def payload_violations(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, labels) for i, labels, _ in _FAULTS], "sample_id bigint, labels array<struct<block_id: int, type: string, supports: array<int>>>")
-    ints = lambda *x: F.array(*[F.lit(i) for i in x])
-    return rows.select("sample_id", compression.violations(F.col("labels"), ints(0, 1), ints(0)).alias("found"))
-
-
-# --- markers -----------------------------------------------------------------------------
-
-
-def _doubled(x: str) -> str:
-    return f"regexp_replace({x}, '([^A-Za-z])', '\\1\\1', 'g')"
-
-
-def _seed_sql() -> str:
-    rows = ", ".join("('" + m.replace("'", "''") + "')" for group in markers.SEEDS.values() for m in group)
-    clean = "regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g')"
-    return rf"""c AS (SELECT {_doubled(clean)} AS t FROM documents WHERE text IS NOT NULL), m AS (SELECT * FROM (VALUES {rows}) AS v(marker)),
-s AS (SELECT marker, CAST(sum(len(regexp_extract_all(t, '(?i)(?:^|[^A-Za-z])' || {_doubled('marker')} || '(?:[^A-Za-z]|$)'))) AS BIGINT) AS n FROM m, c GROUP BY marker)"""
-
-
-@query(f"WITH {_seed_sql()} SELECT marker, n FROM s WHERE n > 0")
-def marker_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return markers.seed_counts(table(spark, folder, "documents"), "text")
-
-
-@query()
-def marker_leading_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return markers.leading_counts(table(spark, folder, "documents"), "text")
-
-
-@query()
-def marker_dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    return markers.dictionary(table(spark, folder, "documents"), "text")
-
-
 # --- pruning -------------------------------------------------------------------------------
 
 
@@ -374,12 +329,6 @@ def backward_prune_heuristic(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("p", pruning.udf_needed("blocks")).select("doc_id", F.size("blocks").alias("n_blocks"), "p.kept", "p.jump")
 
 
-@query()
-def suffix_search_stub(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "selected").filter("status = 'ok'").select("selected_id", udf_logic_blocks("output").alias("blocks"), "answer")
-    return rows.withColumn("p", pruning.udf_suffix("blocks", "answer")).select("selected_id", "p.*")
-
-
 # --- rewritings -----------------------------------------------------------------------------
 
 _REFINE = """r AS (SELECT selected_id, output, solution AS new_output, verified_label = 'verified_correct' AS old_ok, score_b > score_a AS new_ok, problem_difficulty FROM selected WHERE status = 'ok' AND output IS NOT NULL),
@@ -423,12 +372,6 @@ def audit_status_counts(spark: SparkSession, folder: str) -> DataFrame:
     return refinement.audit_counts(table(spark, folder, "selected").select(known.alias("is_cheating")))
 
 
-@query()
-def answers_verified(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "selected").filter("status = 'ok'")
-    return refinement.verified(rows, "output", "answer").select("selected_id", "is_equivalent")
-
-
 @query(f"""WITH {_loop_sql(2000, 5, 50, 10, 6, 20)}, hit AS (SELECT DISTINCT row_id FROM problems p, benchmark_items b WHERE b.problem <> '' AND contains(p.problem, b.problem)),
 f AS (SELECT row_id, count(*) - arg_min(length(t), i) / 10000.0::DOUBLE AS score FROM k WHERE done AND kind = 'Valid' GROUP BY row_id),
 r AS (SELECT row_id, source, score, row_number() OVER (PARTITION BY source ORDER BY score DESC, row_id) AS p, greatest(1, floor(count(*) OVER (PARTITION BY source) * 0.8::DOUBLE)) AS most
