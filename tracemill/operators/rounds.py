@@ -25,10 +25,15 @@ from tracemill.sources.stage import staged
 _SEP = "\n\n"
 
 
+def _numbered(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows with an ``id`` of their own, so that repeated keys stay apart; written, so that the ids stay as they are."""
+    return staged(rows.select(F.monotonically_increasing_id().cast("string").alias("id"), *columns), "traces")
+
+
 def _verdicts(requests: DataFrame, backend: Backend, kind: str) -> DataFrame:
-    """``key, useful, enough, failed``; a reply without verdict counts as neither."""
+    """``id, useful, enough, failed``; a reply without verdict counts as neither."""
     said = prompts.replies(ask(requests, backend, name=kind), kind)
-    return said.select("key", coerce_bool("value.useful").alias("useful"), coerce_bool("value.sufficient").alias("enough"), F.col("error").isNotNull().alias("failed"))
+    return said.select(F.col("key").alias("id"), coerce_bool("value.useful").alias("useful"), coerce_bool("value.sufficient").alias("enough"), F.col("error").isNotNull().alias("failed"))
 
 
 def suffix_rounds(rows: DataFrame, backend: Backend, most_states: int = 128, most_blocks: int = 80) -> DataFrame:
@@ -38,19 +43,20 @@ def suffix_rounds(rows: DataFrame, backend: Backend, most_states: int = 128, mos
     (the last block alone may be useless). ``status``: ``success``,
     ``failed``, ``no_blocks``; ``best``: the longest run with a useful block.
     Only the last ``most_blocks`` blocks and ``most_states`` runs are tried.
-    A failed call counts as neither useful nor sufficient. Keys are unique.
+    A failed call counts as neither useful nor sufficient. Rows with the same
+    key are searched each.
     """
     n = F.coalesce(F.size("blocks"), F.lit(0))
-    state = staged(rows.select("key", "blocks", "question", "answer", n.alias("n"), F.lit(0).alias("best"), F.lit(False).alias("won"), (n == 0).alias("over")), "suffix")
+    state = _numbered(rows, "key", "blocks", "question", "answer").select("id", "key", "blocks", "question", "answer", n.alias("n"), F.lit(0).alias("best"), F.lit(False).alias("won"), (n == 0).alias("over"))
     done, size = state.filter("over").withColumn("checked", F.lit(0)), 0
     state = state.filter("NOT over")
     while state.limit(1).count():
         size += 1
         candidate = F.slice("blocks", F.col("n") - size + 1, size)
-        asked = prompts.requests(state, "sufficient", "key", question=F.col("question"), answer=F.col("answer"), added=F.get(candidate, F.lit(0)), candidate=F.array_join(candidate, _SEP))
-        judged = state.join(_verdicts(asked, backend, "sufficient"), "key")
+        asked = prompts.requests(state, "sufficient", "id", question=F.col("question"), answer=F.col("answer"), added=F.get(candidate, F.lit(0)), candidate=F.array_join(candidate, _SEP))
+        judged = state.join(_verdicts(asked, backend, "sufficient"), "id")
         last = (F.least("n", F.lit(most_blocks), F.lit(most_states)) <= size) | (~F.col("useful") & F.lit(size > 1))
-        moved = judged.select("key", "blocks", "question", "answer", "n", F.when(F.col("useful"), size).otherwise(F.col("best")).alias("best"), F.col("enough").alias("won"), (F.col("enough") | last).alias("over"))
+        moved = judged.select("id", "key", "blocks", "question", "answer", "n", F.when(F.col("useful"), size).otherwise(F.col("best")).alias("best"), F.col("enough").alias("won"), (F.col("enough") | last).alias("over"))
         moved = staged(moved, "suffix")
         done = done.unionByName(moved.filter("over").withColumn("checked", F.lit(size)))
         state = moved.filter("NOT over")
@@ -69,10 +75,11 @@ def backward_rounds(rows: DataFrame, backend: Backend, alike: float = 0.8) -> Da
     State: the block in question, the supports found for it, the next earlier
     block to try, and the queue of needed blocks. A block with the form of the
     latest support belongs to it without a question; others are asked about.
-    Block 0 is a premise. Keys are unique; texts without blocks give nothing.
+    Block 0 is a premise. Rows with the same key are searched each; texts
+    without blocks give nothing.
     """
     ints = F.array().cast("array<int>")
-    start = rows.filter(F.size("blocks") > 0).select("key", "blocks", F.array(F.size("blocks") - 1).alias("queue"), F.lit(0).alias("at"), ints.alias("own"), (F.size("blocks") - 2).alias("i"), F.lit(None).cast("int").alias("jump"))
+    start = _numbered(rows.filter(F.size("blocks") > 0), "key", "blocks").select("id", "key", "blocks", F.array(F.size("blocks") - 1).alias("queue"), F.lit(0).alias("at"), ints.alias("own"), (F.size("blocks") - 2).alias("i"), F.lit(None).cast("int").alias("jump"))
     over = (F.col("at") >= F.size("queue")) | F.col("jump").isNotNull()
     target = F.get("queue", F.col("at"))
     state, done = staged(_settled(start), "backward"), None
@@ -85,15 +92,15 @@ def backward_rounds(rows: DataFrame, backend: Backend, alike: float = 0.8) -> Da
         near = F.coalesce(udf_similarity(_block(F.col("i")), _block(F.try_element_at("own", F.lit(-1)))) > alike, F.lit(False)) & (F.size("own") > 0)
         open_ = staged(open_.withColumn("near", near), "near")
         tried = F.concat("own", F.array("i"))
-        asked = prompts.requests(open_.filter("NOT near"), "depends", "key", target=_block(target), candidate=F.array_join(F.transform(tried, _block), _SEP))
-        judged = open_.join(_verdicts(asked, backend, "depends"), "key", "left")
+        asked = prompts.requests(open_.filter("NOT near"), "depends", "id", target=_block(target), candidate=F.array_join(F.transform(tried, _block), _SEP))
+        judged = open_.join(_verdicts(asked, backend, "depends"), "id", "left")
         useful, enough = F.col("near") | F.coalesce("useful", F.lit(False)), ~F.col("near") & F.coalesce("enough", F.lit(False))
         queue = F.when(useful & ~F.array_contains("queue", F.col("i")), F.concat("queue", F.array("i"))).otherwise(F.col("queue"))
         own = F.when(useful, tried).otherwise(F.col("own"))
-        moved = judged.select("key", "blocks", queue.alias("queue"), "at", own.alias("own"), "i", "jump", enough.alias("enough"))
+        moved = judged.select("id", "key", "blocks", queue.alias("queue"), "at", own.alias("own"), "i", "jump", enough.alias("enough"))
         # the next earlier block; if there is none left, no support was found
         next_ = moved.select(
-            "key", "blocks", "queue", F.when(F.col("enough"), F.col("at") + 1).otherwise(F.col("at")).alias("at"), F.when(F.col("enough"), ints).otherwise(F.col("own")).alias("own"),
+            "id", "key", "blocks", "queue", F.when(F.col("enough"), F.col("at") + 1).otherwise(F.col("at")).alias("at"), F.when(F.col("enough"), ints).otherwise(F.col("own")).alias("own"),
             F.when(F.col("enough"), F.get("queue", F.col("at") + 1) - 1).otherwise(F.col("i") - 1).alias("i"), F.when(~F.col("enough") & (F.col("i") == 0), F.get("queue", F.col("at"))).alias("jump"),
         )
         state = staged(_settled(next_), "backward")
@@ -103,7 +110,7 @@ def _settled(state: DataFrame) -> DataFrame:
     """Block 0 needs no support: where it is next, the search goes on to the one after it (it is in the queue only once)."""
     first = F.coalesce(F.get("queue", F.col("at")) == 0, F.lit(False)) & F.col("jump").isNull()
     at = F.when(first, F.col("at") + 1).otherwise(F.col("at"))
-    return state.select("key", "blocks", "queue", at.alias("at"), "own", F.when(first, F.get("queue", F.col("at") + 1) - 1).otherwise(F.col("i")).alias("i"), "jump")
+    return state.select("id", "key", "blocks", "queue", at.alias("at"), "own", F.when(first, F.get("queue", F.col("at") + 1) - 1).otherwise(F.col("i")).alias("i"), "jump")
 
 
 _PARTS = {"sufficient": re.compile(r"Result: (.*?)\n\nNew block:\n(.*?)\n\nBlocks so far, the new one first:\n(.*)\n\nIs the new block", re.S), "depends": re.compile(r"Statement:\n(.*?)\n\nEarlier blocks:\n(.*)\n\nDoes the statement", re.S)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.plans import corpus_queries, model_queries, text_queries, trace_queries  # noqa: F401  (registers the queries)
+from tracemill.plans import corpus_queries, file_queries, model_queries, text_queries, trace_queries  # noqa: F401  (registers the queries)
 from tracemill.plans.registry import ORACLE, QUERIES, Query
 
 

@@ -193,6 +193,18 @@ def cluster_topk_v1(spark: SparkSession, folder: str) -> DataFrame:
     return _top(spark, folder, "winner_score", False).select("score_id", "split")
 
 
+@query(f"SELECT 'ok' AS status, count(*) AS n FROM selected WHERE status = 'ok' UNION ALL SELECT 'failed', count(*) FROM selected WHERE status = 'judge_failed' UNION ALL SELECT 'skipped', count(*) FROM problems WHERE len(list_filter(coalesce(generations, []), lambda g: g IS NOT NULL)) < 2 OR generations IS NULL")
+def selection_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """How many problems gave a pair, failed in judging, or were skipped for lack of two traces."""
+    done, problems = table(spark, folder, "selected"), table(spark, folder, "problems")
+    counts = done.select(F.when(F.col("status") == "ok", "ok").when(F.col("status") == "judge_failed", "failed").alias("status")).unionByName(
+        problems.filter(F.size(F.filter(or_empty("generations"), lambda g: g.isNotNull())) < 2).select(F.lit("skipped").alias("status"))
+    )
+    every = spark.createDataFrame([("ok",), ("failed",), ("skipped",)], "status string")
+    found = counts.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return every.join(found, "status", "left").select("status", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
 @query(_top_sql("global_score", 1) + """SELECT split, count(*) AS n, round(avg(CASE WHEN NOT isnan(global_score) AND NOT isinf(global_score) THEN global_score END), 6) AS avg_score,
   round(avg(CASE WHEN NOT isnan(IFD_Score) AND NOT isinf(IFD_Score) THEN IFD_Score END), 6) AS avg_ifd FROM s GROUP BY split""")
 def cluster_split_summary(spark: SparkSession, folder: str) -> DataFrame:

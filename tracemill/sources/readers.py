@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
+from fnmatch import fnmatch
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,13 +17,15 @@ from tracemill.sources.stage import staged
 CORRUPT = "_corrupt"
 
 
-def parquet_shards(spark: SparkSession, pattern: str, *columns: str, skip_broken: bool = False) -> DataFrame:
+def parquet_shards(spark: SparkSession, pattern: str, *columns: str, skip_broken: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
     """All shards of a pattern, with only the wanted columns, and the shard's file name in ``shard_file``.
 
-    With ``skip_broken``, unreadable files are left out.
+    With ``skip_broken``, unreadable files are left out. Without a ``schema``
+    it comes from the files.
     """
-    reader = spark.read.option("ignoreCorruptFiles", str(skip_broken).lower())
-    rows = reader.parquet(pattern)
+    broken = str(skip_broken).lower()
+    reader = spark.read.option("ignoreCorruptFiles", broken).option("mergeSchema", broken)
+    rows = (reader.schema(schema) if schema is not None else reader).parquet(pattern)
     return rows.select(*(columns or rows.columns), F.col("_metadata.file_name").alias("shard_file"))
 
 
@@ -46,6 +50,22 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.option("mode", option).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
+def json_lines_checked(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """JSON lines with ``line_no`` (within its file, from 1), blank lines left out; an invalid line or one that is no object is an error that names its number.
+
+    Each file is read by one task, as its lines are counted. Bytes that are no
+    UTF-8 become replacement characters.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.posexplode(F.split("value", "\n")).alias("_i", "_line"))
+    lines = lines.withColumn("_line", F.trim(F.col("_line"), F.lit("\ufeff \t\r"))).filter("_line <> ''")
+    own = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).simpleString()
+    value = F.when(F.col("_line").startswith("{"), F.from_json("_line", own, {"mode": "PERMISSIVE"}))
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("_line")).startswith("OBJECT"), F.lit(False))
+    bad = F.raise_error(F.concat(F.lit("invalid JSON object in "), "_file", F.lit(" at line "), (F.col("_i") + 1).cast("string")))
+    rows = lines.select((F.col("_i") + 1).alias("line_no"), F.when(is_object, value).otherwise(bad.cast(own)).alias("v"))
+    return rows.select("line_no", "v.*")
+
+
 def json_document(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A file that holds one JSON array (a row per element) or one object (a row)."""
     reader = spark.read.option("multiLine", "true").option("mode", "FAILFAST")
@@ -53,10 +73,10 @@ def json_document(spark: SparkSession, path: str, schema: T.StructType | str | N
 
 
 def json_any(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """An array or lines, told apart by the first character that isn't white space."""
+    """An array, one object over several lines, or lines: told apart by the first line that isn't blank."""
     head = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()  # one line of one file
-    is_array = bool(head) and head[0]["value"].lstrip("﻿ \t\r\n").startswith("[")
-    return json_document(spark, path, schema) if is_array else json_lines(spark, path, schema)
+    first = head[0]["value"].strip("﻿ \t\r\n") if head else ""
+    return json_document(spark, path, schema) if first.startswith("[") or first == "{" else json_lines(spark, path, schema)
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -122,12 +142,23 @@ def embedding_cache(spark: SparkSession, path: str, needed: tuple[str, ...] = ("
     return rows
 
 
-def fetch_snapshot(fetch, names: list[str]) -> dict[str, str]:
-    """Call ``fetch(name)`` for each data set; the outcome of each, so that one failure doesn't stop the others."""
+#: Files of a data set that hold no data.
+IGNORED = ("*.pdf", "*.png", "*.jpg")
+
+
+def fetch_snapshot(listed: Callable[[str], list[str]], fetch: Callable[[str, str], None], names: list[str], ignore: tuple[str, ...] = IGNORED) -> dict[str, str]:
+    """Fetch the files of each data set but the ignored ones; the outcome of each, so that one failure doesn't stop the others.
+
+    ``listed(name)`` gives the files of a data set, ``fetch(name, file)`` gets
+    one; both come from the hub's client, which is no part of this library.
+    """
     out = {}
     for name in names:
         try:
-            out[name] = str(fetch(name))
+            files = [f for f in listed(name) if not any(fnmatch(f.lower(), p) for p in ignore)]
+            for file in files:
+                fetch(name, file)
+            out[name] = f"{len(files)} files"
         except Exception as e:  # noqa: BLE001
             out[name] = f"failed: {e}"
     return out

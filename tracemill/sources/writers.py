@@ -19,10 +19,26 @@ def write_parquet(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").parquet(path)
 
 
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """One file with a small text, such as a JSON result or a log."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def append_new(df: DataFrame, path: str, key: str) -> int:
-    """Append the rows whose key isn't in the table yet, and say how many; repeating it appends nothing."""
+    """Append the rows whose key isn't in the table yet, and say how many; repeating it appends nothing.
+
+    Of several new rows with one key the first by the values of its columns
+    stays (columns that have an order), so a repetition chooses alike.
+    """
     spark = df.sparkSession
-    new = df.dropDuplicates([key])
+    others = [c for c in df.columns if c != key]
+    sortable = F.struct(*[F.to_json(F.struct(c)).alias(c) for c in others]) if others else F.lit(0)
+    new = df.groupBy(key).agg(F.min_by(F.struct(*others), sortable).alias("_r")).select(key, *[F.col("_r")[c].alias(c) for c in others]).select(*df.columns) if others else df.distinct()
     if _exists(spark, path):
         new = new.join(spark.read.schema(df.schema).parquet(path).select(key), key, "left_anti").select(*df.columns)
     batch = f"{path}/batch={uuid.uuid4().hex}"
@@ -71,6 +87,16 @@ def envelope(results: DataFrame, errors: DataFrame) -> str:
     return own if bad == "[]" else json.dumps({"results": json.loads(own), "errors": json.loads(bad)}, ensure_ascii=False, indent=2)
 
 
+def prune_result(key: str, blocks: list[str], kept: list[int], jump: int | None, log: list[str] | None = None) -> str:
+    """The outcome of pruning one trace as JSON: status, where it broke off, the kept blocks and their text."""
+    own = set(kept)
+    value = {
+        "sample_id": key, "status": "success" if jump is None else "logic_jump", "exception_block": jump, "original_block_count": len(blocks), "kept_block_count": len(own),
+        "kept_block_indices": sorted(own), "pruned_think": "\n\n".join(b for i, b in enumerate(blocks) if i in own), "logs": log or [],
+    }
+    return json.dumps(value, ensure_ascii=False, indent=2)
+
+
 def prune_log(blocks: list[str], kept: list[int], jump: int | None) -> str:
     """What a pruning of one trace decided, for reading."""
     lines = [f"blocks {len(blocks)}, kept {len(kept)}, " + ("complete" if jump is None else f"logic jump at {jump}")]
