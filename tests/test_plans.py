@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tracemill.operators import loops, resume, selection
+from tracemill.operators import compression, loops, resume, selection
 from tracemill.plans import catalog
 
 
@@ -16,8 +16,19 @@ def test_text_work_does_not_shuffle(spark, small):
 
 
 def test_column_functions_stay_in_the_jvm(spark, small):
-    for name in ("loop_detect", "compression_stats_per_doc", "marker_counts", "sentence_split", "target_canonical"):
-        assert "Python" not in plan(catalog.queries()[name](spark, small)) and "Arrow" not in plan(catalog.queries()[name](spark, small)), name
+    given = spark.createDataFrame([(["x = 3 so 3"], ["3"])], "blocks array<string>, targets array<string>").coalesce(1)
+    labelled = compression.statistics(compression.labelled(given, F.col("blocks"), F.col("targets")), F.col("blocks"), F.col("targets"))
+    frames = {name: catalog.queries()[name](spark, small) for name in ("loop_detect", "marker_counts", "marker_leading_counts", "sentence_split", "target_canonical", "answer_numbers")} | {"labelled": labelled}
+    for name, df in frames.items():
+        assert "Python" not in plan(df) and "Arrow" not in plan(df), name
+
+
+def test_no_nested_loops_and_no_windows_over_sources(spark, small):
+    """Phrase searches read the texts once, and the flagship ranks without a window that holds a whole source."""
+    for name in ("contamination_contains", "keyword_probe", "high_quality_split", "decontaminate_normalized_equi"):
+        own = plan(catalog.queries()[name](spark, small))
+        assert "NestedLoop" not in own and "Cartesian" not in own, name
+        assert "Window" not in own, name
 
 
 def test_scans_are_pruned(spark, small):

@@ -28,18 +28,26 @@ def mean_pooled(states: Column, mask: Column | None = None) -> Column:
     return F.when((F.size(kept) > 0) & (width > 0), mean)
 
 
+def _of_length(df: DataFrame, embedding: str, n: int) -> DataFrame:
+    """The rows whose embedding has ``n`` finite values."""
+    sound = ~F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return df.filter(F.coalesce((F.size(embedding) == n) & sound, F.lit(False)))
+
+
 def fit_kmeans(df: DataFrame, embedding: str, k: int = 40, seed: int = 42, rounds: int = 20) -> KMeansModel | None:
-    """Distributed k-means over the rows that have an embedding; None if no row has."""
-    rows = df.filter(F.col(embedding).isNotNull()).select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features"))
-    if not rows.limit(1).count():
+    """Distributed k-means over the rows that have an embedding of the most frequent length; None if no row has."""
+    sizes = df.filter(F.col(embedding).isNotNull()).groupBy(F.size(embedding).alias("n")).count()
+    n = sizes.orderBy(F.col("count").desc(), "n").first()
+    if n is None or not n["n"]:
         return None
-    return KMeans(k=k, seed=seed, maxIter=rounds).fit(rows)
+    rows = _of_length(df, embedding, n["n"]).select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features"))
+    return KMeans(k=k, seed=seed, maxIter=rounds).fit(rows) if rows.limit(1).count() else None
 
 
 def with_clusters(df: DataFrame, embedding: str, model: KMeansModel | None, name: str = "cluster") -> DataFrame:
-    """A column with the cluster of each row; rows without an embedding are dropped."""
-    rows = df.filter(F.col(embedding).isNotNull()).withColumn("_features", array_to_vector(F.col(embedding).cast("array<double>")))
+    """A column with the cluster of each row; rows without an embedding that the model can place are dropped."""
     if model is None:
-        return rows.drop("_features").withColumn(name, F.lit(None).cast("int"))
+        return df.filter(F.col(embedding).isNotNull()).withColumn(name, F.lit(None).cast("int"))
+    rows = _of_length(df, embedding, len(model.clusterCenters()[0])).withColumn("_features", array_to_vector(F.col(embedding).cast("array<double>")))
     model.setFeaturesCol("_features").setPredictionCol(name)
     return model.transform(rows).drop("_features")
