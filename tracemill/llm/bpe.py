@@ -12,6 +12,7 @@ another rank. The cost is linear in the bytes of the pre-token.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from array import array
 from collections.abc import Callable
@@ -19,6 +20,8 @@ from functools import lru_cache
 from itertools import chain
 
 import regex
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 #: White space as Unicode's White_Space property has it, as used by the pre-tokenizer.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -183,5 +186,17 @@ def encoder(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
+def shipped(spark: SparkSession, path: str) -> str:
+    """Send the vocabulary file along with the application where the workers may run on other machines."""
+    if not spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.addFile(path)
+    return path
+
+
+def on_worker(path: str) -> str:
+    """The vocabulary file as this worker has it: at the same path, or shipped with the application."""
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+
+
 def vocabulary_path(name: str = "byte_bpe_50k", folder: str = "/opt/tokenizers") -> str:
     return f"{folder}/{name}.tiktoken"

@@ -139,6 +139,6 @@ def fitted(docs: DataFrame) -> Languages:
     out. Without labelled documents only scripts are told apart.
     """
     own = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    drawn = hash_sample(own, SAMPLE_DOCS, own.select("lang").count(), "doc_id", "lang")
+    drawn = hash_sample(own, SAMPLE_DOCS, own.select("lang").count(), "doc_id", "lang").limit(2 * SAMPLE_DOCS)
     rows = drawn.filter(F.length("text") > 0).select("lang", "text").collect()  # a bounded sample
     return Languages(counted(sorted(tuple(r) for r in rows)))

@@ -47,10 +47,27 @@ again AS (SELECT row_id, gen_pos, p FROM (SELECT row_id, gen_pos, p, row_number(
 c AS (SELECT row_id, gen_pos, count(DISTINCT q) AS n FROM (SELECT row_id, gen_pos, unnest(generate_series(p, p + 5)) AS q FROM again) GROUP BY ALL)
 SELECT row_id, CAST(gen_pos AS INT) AS gen_pos FROM c JOIN g USING (row_id, gen_pos) WHERE CAST(n AS DOUBLE) / len(w) >= 0.3"""
 
+
+
+def _measures() -> str:
+    """Covered words and characters for stretches of 3, 6 and 12 words, and lines that repeat an earlier one."""
+    parts = []
+    for n in (3, 6, 12):
+        parts.append(f"""s{n} AS (SELECT row_id, gen_pos, p, array_to_string(w[p : p + {n - 1}], ' ') AS gram FROM (SELECT row_id, gen_pos, w, unnest(generate_series(1, len(w) - {n - 1})) AS p FROM g WHERE len(w) >= {n})),
+a{n} AS (SELECT row_id, gen_pos, p FROM (SELECT row_id, gen_pos, p, row_number() OVER (PARTITION BY row_id, gen_pos, gram ORDER BY p) AS k FROM s{n}) WHERE k > 1),
+c{n} AS (SELECT row_id, gen_pos, count(*) AS words_{n}, CAST(sum(length(w[q])) AS BIGINT) AS chars_{n} FROM (SELECT DISTINCT row_id, gen_pos, unnest(generate_series(p, p + {n - 1})) AS q FROM a{n}) JOIN g USING (row_id, gen_pos) GROUP BY ALL)""")
+    zero = ", ".join(f"coalesce({k}_{n}, 0) AS {k}_{n}" for n in (3, 6, 12) for k in ("words", "chars"))
+    return f"""WITH t AS (SELECT row_id, CAST(i AS INT) AS gen_pos, coalesce(generations[i + 1], '') AS t FROM (SELECT row_id, generations, unnest(generate_series(0, len(generations) - 1)) AS i FROM problems WHERE len(generations) > 0)),
+g AS (SELECT row_id, gen_pos, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS w, list_filter(list_transform(string_split(lower(t), chr(10)), lambda x: array_to_string(regexp_extract_all(x, '[\\p{{L}}\\p{{N}}]+'), ' ')), lambda x: x <> '') AS l FROM t),
+{", ".join(parts)}
+SELECT row_id, gen_pos, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS n_chars, {zero}, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS lines_repeated
+FROM g LEFT JOIN c3 USING (row_id, gen_pos) LEFT JOIN c6 USING (row_id, gen_pos) LEFT JOIN c12 USING (row_id, gen_pos)"""
+
+
 #: The near rows of a row are its whole group, as groups are far apart in these tables.
 P3_FOUND = f"""WITH cur AS ({CURRENT}),
 v AS (SELECT score_id, CAST(embedding AS DOUBLE[]) AS e FROM cur WHERE len(embedding) = 32 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 u AS (SELECT score_id, e FROM v WHERE list_max(list_transform(e, lambda x: abs(x))) > 0)
 SELECT min(a.score_id) AS rep_id, b.score_id AS member_id FROM u a JOIN u b ON a.score_id < b.score_id AND list_cosine_similarity(a.e, b.e) >= 0.95 GROUP BY b.score_id"""
 
-ORACLE = {"p1_found": P1_FOUND, "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS, "p7_found": P7_FOUND, "p7_fusion": P7_FUSION}
+ORACLE = {"p1_found": P1_FOUND, "p2_found": P2_FOUND, "p2_measures": _measures(), "p3_found": P3_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS, "p7_found": P7_FOUND, "p7_fusion": P7_FUSION}

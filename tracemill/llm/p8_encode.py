@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.bpe import encoder, vocabulary_path
+from tracemill.llm.bpe import encoder, on_worker, shipped, vocabulary_path
 
 
 def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -21,10 +21,10 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     columns are never read. No shuffle: one pass over the pruned scan, batches
     through Arrow. The cache of known pieces is bounded (``ByteBPE``).
     """
-    path = vocabulary or vocabulary_path()
+    path = shipped(docs.sparkSession, vocabulary or vocabulary_path())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(on_worker(path))
         for batch in batches:
             ids, ends = array("i"), [0]
             for text in batch.column(1).to_pylist():
@@ -40,10 +40,10 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def count_tokens(docs: DataFrame, keep: list[str], text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``keep`` columns and ``n_tokens`` of each row; null and empty texts have 0."""
-    path = vocabulary or vocabulary_path()
+    path = shipped(docs.sparkSession, vocabulary or vocabulary_path())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(on_worker(path))
         for batch in batches:
             counts = pa.array([bpe.count(text) for text in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts], names=[*keep, "n_tokens"])

@@ -11,11 +11,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, n: int, rows: int, *keys: str) -> DataFrame:
-    """About ``n`` of the ``rows`` rows, at most twice as many, by a hash of the keys: the same ones on every run, and no task sees more than its own."""
+    """About ``n`` of the ``rows`` rows by a hash of the keys: the same ones on every run, and no task sees more than its own. Where keys repeat, the caller sets a limit besides."""
     if rows <= n:
         return df
     share = int(2**62 * n / rows)
-    return df.filter(F.shiftrightunsigned(F.xxhash64(*keys), 2) < share).limit(2 * n)
+    return df.filter(F.shiftrightunsigned(F.xxhash64(*keys), 2) < share)
 
 
 def current_rows(scored: DataFrame, *columns: str) -> DataFrame:
