@@ -48,7 +48,8 @@ def test_pick_pair_by_hand(spark):
 
 def test_top_share_keeps_one(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (2, 2), (2, 3), (2, 4), (2, 5)], "c int, v int")
-    high = lambda keep: {(r["c"], r["v"]) for r in selection.top_share(df, "c", [F.col("v").desc()], 0.8, keep).filter("split = 'high'").collect()}
+    own = df.withColumn("k", F.col("c") * 10 + F.col("v"))
+    high = lambda keep: {(r["k"] // 10, r["v"]) for r in selection.ranked_share(own, "k", "c", [F.col("v").desc()], 0.8, keep, ("v",)).filter("split = 'high'").collect()}
     assert high(True) == {(1, 1), (2, 5), (2, 4), (2, 3), (2, 2)} and high(False) == high(True) - {(1, 1)}
 
 

@@ -43,6 +43,6 @@ def test_resume_is_an_anti_join(spark, small):
     assert "LeftAnti" in plan(resume.pending_problems(rows, spark.read.parquet(f"{small}/selected.parquet")))
 
 
-def test_top_share_has_one_exchange(spark):
+def test_ranked_share_has_no_window(spark):
     df = spark.range(10).select(F.col("id").alias("k"), (F.col("id") % 3).alias("c"))
-    assert plan(selection.top_share(df, "c", [F.col("k")], 0.8)).count("Exchange hashpartitioning") == 1
+    assert "Window" not in plan(selection.ranked_share(df, "k", "c", [F.col("k")], 0.8))

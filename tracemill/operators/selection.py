@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.arrays import let, or_empty
@@ -96,23 +96,14 @@ def chosen_index(answer: Column) -> Column:
     return F.when(i.isin(0, 1), i).otherwise(0)
 
 
-def top_share(df: DataFrame, cluster: str, order: list[Column], share: float, keep_one: bool = True) -> DataFrame:
-    """All rows with ``split``: ``high`` for the first floor(n * share) of each cluster (at least one if ``keep_one``), else ``low``.
-
-    ``order`` should end with a unique key. Null clusters form one of their own.
-    """
-    whole = Window.partitionBy(cluster)
-    size = F.floor(F.count(F.lit(1)).over(whole) * F.lit(float(share)))
-    most = F.greatest(size, F.lit(1)) if keep_one else size
-    return df.withColumn("__p", F.row_number().over(whole.orderBy(*order))).withColumn("__most", most).withColumn("split", F.when(F.col("__p") <= F.col("__most"), "high").otherwise("low")).drop("__p", "__most")
-
-
 def ranked_share(df: DataFrame, key: str, cluster: str, order: list[Column], share: float, keep_one: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(key, *keep, split)`` as ``top_share`` gives it, for clusters of any size.
+    """``(key, *keep, split)``: ``high`` for the first floor(n * share) rows of each cluster (at least one if ``keep_one``), else ``low``.
 
-    Positions come from one range sort of all rows with prefix sums
-    (``ranking.ranked``) instead of a window that puts a cluster into one
-    task; cluster sizes are counted before the shuffle. ``key`` is unique.
+    Clusters may be of any size: positions come from one range sort of all
+    rows with prefix sums (``ranking.ranked``) instead of a window that puts a
+    cluster into one task; cluster sizes are counted before the shuffle.
+    ``key`` is unique and decides between equal rows. Null clusters form one
+    of their own.
     """
     name = F.coalesce(F.col(cluster).cast("string"), F.lit("\x00"))
     rows = df.withColumn("__cluster", name)
