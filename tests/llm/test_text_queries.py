@@ -155,8 +155,8 @@ def test_open_structures():
 
 
 def test_structures_over_paragraphs():
-    open_ = ["We run this code.\n\n```\nx = 1.\n\nThen we print it all and see what it is.", "See \\begin{align} x\n\nand y is the last of the values that we need.", "See $$ x = 1.\n\nThe rest of it is the same as it was before.", "We need two facts in all.\n1. The sum is 4.\n2.", "They say: “the sum of all of the columns is even."]
-    whole = ["It costs $5 a day.\n\nSo $x = 3$ is the number of days that we have.", "```\nx = (1\n\ny = 2\n```", "The value lies in [0, 1) and is less than any of the others.", "Er sagt: „Die Summe ist gleich vier“ und geht dann wieder.", "A list (of\n\nvalues that is followed by a text of its own.", "The number of all the days is\n12."]
+    open_ = ["We run this code.\n\n```\nx = 1.\n\nThen we print it all and see what it is.", "See \\begin{align} x\n\nand y is the last of the values that we need.", "See $$ x = 1.\n\nThe rest of it is the same as it was before.", "We need two facts in all.\n1. The sum is 4.\n2.", "They say: “the sum of all of the columns is even.", "On lit : « la somme de toutes les colonnes est paire.", "Er sagt: »die Summe aller Spalten ist gerade."]
+    whole = ["It costs $5 a day.\n\nSo $x = 3$ is the number of days that we have.", "```\nx = (1\n\ny = 2\n```", "The value lies in [0, 1) and is less than any of the others.", "Er sagt: „Die Summe ist gleich vier“ und geht dann wieder.", "Er sagt: »Die Summe ist gleich vier« und geht dann wieder.", "On lit : « la somme est paire » et rien de plus que cela.", "A list (of\n\nvalues that is followed by a text of its own.", "The number of all the days is\n12."]
     assert all(map(open_at_end, open_)) and not any(map(open_at_end, whole))
     assert all(map(is_cut_output, open_)) and not any(map(is_cut_output, [w for w in whole if w[0] != "`"]))
 

@@ -12,7 +12,9 @@ _INTERVAL = {")": "[", "]": "("}
 #: What ends a sentence, and what may follow it.
 TERMINAL = ".!?。！？…"
 AFTER = "\"'”’»)]}*_`"
-_TOKENS = re.compile(r"```|\$\$|\\[\[\]()]|\\begin\{(\w+\*?)\}|\\end\{(\w+\*?)\}|\\.|[$(){}\[\]“”„「」『』]|</?(\w+)>")
+_TOKENS = re.compile(r"```|\$\$|\\[\[\]()]|\\begin\{(\w+\*?)\}|\\end\{(\w+\*?)\}|\\.|[$(){}\[\]“”„「」『』«»]|</?(\w+)>")
+#: Marks of which either may open a quotation, and the other then closes it.
+_EITHER = {"«": "»", "»": "«"}
 #: What a blank line doesn't end.
 _SPANNING = re.compile(r"```|\$\$|\\[\[\]]|\\begin\{(\w+\*?)\}|\\end\{(\w+\*?)\}|\\.|</?(\w+)>")
 _MARK = re.compile(r"\s*(?:\[\s*(?:cut|cut off|truncated|snip|\.\.\.|…)\s*\]|\(\s*(?:cut|truncated)\s*\)|<\s*(?:cut|truncated)\s*/?>|…|\.\.\.+)\s*$", re.I)
@@ -80,6 +82,12 @@ def open_structures(text: str, before: list[str] | None = None, tokens: re.Patte
             elif name in stack:
                 while stack.pop() != name:
                     pass
+        elif t in _EITHER:
+            if (other := _EITHER[t]) in stack:
+                while stack.pop() != other:
+                    pass
+            else:
+                stack.append(t)
         elif t == "“" and "„" in stack:
             del stack[len(stack) - 1 - stack[::-1].index("„") :]
         elif t in _PAIRS:
