@@ -28,20 +28,23 @@ def mean_pooled(states: Column, mask: Column | None = None) -> Column:
     return F.when((F.size(kept) > 0) & (width > 0), mean)
 
 
-def _of_length(df: DataFrame, embedding: str, n: int) -> DataFrame:
-    """The rows whose embedding has ``n`` finite values."""
+def _length(embedding: str) -> Column:
+    """The length of an embedding of finite values; null for any other and for an empty one."""
     sound = ~F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.filter(F.coalesce((F.size(embedding) == n) & sound, F.lit(False)))
+    return F.when((F.size(embedding) > 0) & sound, F.size(embedding))
+
+
+def _of_length(df: DataFrame, embedding: str, n: int) -> DataFrame:
+    return df.filter(F.coalesce(_length(embedding) == n, F.lit(False)))
 
 
 def fit_kmeans(df: DataFrame, embedding: str, k: int = 40, seed: int = 42, rounds: int = 20) -> KMeansModel | None:
     """Distributed k-means over the rows that have an embedding of the most frequent length; None if no row has."""
-    sizes = df.filter(F.col(embedding).isNotNull()).groupBy(F.size(embedding).alias("n")).count()
-    n = sizes.orderBy(F.col("count").desc(), "n").first()
-    if n is None or not n["n"]:
+    n = df.agg(F.mode(_length(embedding), True)).first()[0]
+    if n is None:
         return None
-    rows = _of_length(df, embedding, n["n"]).select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features"))
-    return KMeans(k=k, seed=seed, maxIter=rounds).fit(rows) if rows.limit(1).count() else None
+    rows = _of_length(df, embedding, n).select(array_to_vector(F.col(embedding).cast("array<double>")).alias("features"))
+    return KMeans(k=k, seed=seed, maxIter=rounds).fit(rows)
 
 
 def with_clusters(df: DataFrame, embedding: str, model: KMeansModel | None, name: str = "cluster") -> DataFrame:

@@ -24,10 +24,10 @@ def answer_matches(train: DataFrame, bench: DataFrame, key: str, judge: Judge |
     that are the same problem; it runs after the equi join, so a costly model
     sees only candidates. Of the training side only rows whose answer an item
     has take part; as an answer such as the empty one may be that of a large
-    part of them, the join key is salted, with a copy of the (few) items of
+    part of them, the join key is salted by the row's key, with a copy of the (few) items of
     an answer for each salt.
     """
-    left = train.select(key, F.col("problem"), normalize_answer("answer").alias("_a"), F.pmod(F.xxhash64(key, "problem"), F.lit(salts)).alias("_salt"))
+    left = train.select(key, F.col("problem"), normalize_answer("answer").alias("_a"), F.pmod(F.xxhash64(key), F.lit(salts)).alias("_salt"))
     right = bench.select("item_id", F.col("problem").alias("item_problem"), normalize_answer("answer").alias("_a")).distinct()
     pairs = left.join(right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))), ["_a", "_salt"])
     return (judge(pairs) if judge else pairs).select(key, "item_id")

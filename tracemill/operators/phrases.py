@@ -41,7 +41,7 @@ def phrase_hits(rows: DataFrame, phrases: DataFrame, key: str, text: str, phrase
     texts = rows.select(F.col(key), F.col(text).cast("string").alias("_text"))
     found = None
     for i in range(passes):
-        part = tuple(sorted((tuple(r) for r in own.filter(F.pmod(F.xxhash64("id"), F.lit(passes)) == i).collect()), key=repr))  # a bounded part of the query set
+        part = tuple(sorted((tuple(r) for r in (own if passes == 1 else own.filter(F.pmod(F.xxhash64("id"), F.lit(passes)) == i)).collect()), key=repr))  # a bounded part of the query set
         hits = texts.mapInArrow(_search(part, [key, phrase_id], id_type), schema)
         found = hits if found is None else found.unionByName(hits)
     return found
