@@ -133,6 +133,73 @@ def test_large_components_keep_the_cosine(spark):
     assert max(len(g) for g in groups.values() if 3000 <= min(g) < 4500) >= 1300 and sum(min(g) >= 4500 for g in groups.values()) == 1
 
 
+def expected_groups(vectors, least=0.95):
+    """Ward over all rows at once: ``{rep: members}``."""
+    u = unit(np.array(vectors))
+    label = ward(u, np.ones(len(u)), u @ u.T >= least - 1e-6)
+    return {int(g): np.flatnonzero(label == g).tolist() for g in np.unique(label) if (label == g).sum() > 1}
+
+
+def found_groups(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["rep_id"], []).append(r["member_id"])
+    return {k: sorted(g) for k, g in groups.items()}
+
+
+@pytest.mark.parametrize("rows", [900, 1500])
+def test_the_size_of_a_component_does_not_matter(spark, rows):
+    """A cloud that is no single group: the same rule on both sides of ``EXACT_ROWS``, and nothing is left that could still merge."""
+    rng = np.random.default_rng(13)
+    vectors = unit(np.eye(32)[0] + rng.normal(size=(rows, 32)) * 0.03).astype(np.float32)
+    groups = found_groups(similar_groups(scored(spark, vectors).repartition(3)).collect())
+    assert groups == expected_groups(vectors.astype(float))
+    near = unit(vectors.astype(float))
+    near = near @ near.T >= 0.95
+    parts = [*groups.values(), *([i] for i in set(range(rows)) - {i for g in groups.values() for i in g})]
+    assert all(near[np.ix_(g, g)].all() for g in parts)
+    assert not any(near[np.ix_(g, h)].all() for k, g in enumerate(parts) for h in parts[:k])
+
+
+def test_large_single_groups_are_settled_alike(spark, monkeypatch):
+    """Looked at in blocks first or not: the same groups and centralities."""
+    rng = np.random.default_rng(14)
+    c, d, e = unit(rng.normal(size=(3, 32)))
+    turn = rng.uniform(0, 1.2, 150)
+    parts = [c + rng.normal(size=(200, 32)) * 0.02, d + rng.normal(size=(200, 32)) * 0.026, np.repeat(e[None], 100, 0), np.stack([np.cos(turn), np.sin(turn), *[np.zeros(150)] * 30], 1)]
+    # a pair in the middle of a single group that is just too far apart
+    side = unit(rng.normal(size=32) * 1.0)
+    mid = unit(rng.normal(size=32))
+    side = unit(side - mid * (side @ mid))
+    parts.append(np.stack([np.cos(t) * mid + np.sin(t) * side for t in (0.16, -0.16, *rng.uniform(-0.1, 0.1, 40))]))
+    vectors = unit(np.concatenate(parts)).astype(np.float32)
+    results = []
+    for exact, block in ((100_000, 16384), (20, 30)):
+        monkeypatch.setattr("tracemill.llm.p3_clusters.EXACT_ROWS", exact)
+        monkeypatch.setattr("tracemill.llm.p3_clusters.BLOCK_ROWS", block)
+        rows = similar_groups(scored(spark, vectors)).collect()
+        assert found_groups(rows) == expected_groups(vectors.astype(float))
+        results.append({r["member_id"]: round(r["centrality"], 9) for r in rows})
+    assert results[0] == results[1]
+
+
+def test_merging_in_rounds_is_merging_one_after_another(monkeypatch):
+    """Held or compared once more, in one block or many: the clusters of ``ward``."""
+    rng = np.random.default_rng(15)
+    angle = np.arccos(0.95)
+    for held, numbers in ((8192, 1 << 20), (0, 100), (20, 1)):
+        monkeypatch.setattr("tracemill.llm.p3_clusters.HELD_CLUSTERS", held)
+        monkeypatch.setattr("tracemill.llm.p3_clusters._HELD", numbers)
+        for k in (1, 2, 7, 60, 150):
+            x = unit(np.eye(5)[0] + rng.normal(size=(k, 5)) * 0.15)
+            n = rng.integers(1, 5, k).astype(float)
+            assert _cones(x, n, angle).tolist() == ward(x * n[:, None], n, x @ x.T >= np.cos(angle) - 1e-9).tolist()
+        # equal costs everywhere
+        copies = np.repeat(unit(np.array([[1, 0.0], [np.cos(0.2), np.sin(0.2)], [np.cos(0.4), np.sin(0.4)]])), 8, 0)
+        group = _cones(copies, np.ones(24), angle)
+        assert len(np.unique(group)) == 2 and all((copies[group == g] @ copies[group == g].T).min() >= 0.95 - 1e-6 for g in np.unique(group))
+
+
 def test_profiles(spark):
     c = np.eye(32)[0]
     vectors = [c + np.eye(32)[1] * 0.2, c, c + np.eye(32)[2] * 0.1, np.eye(32)[5]]

@@ -19,8 +19,10 @@ TREE_ROWS = 1 << 16
 CELL_ROWS, SPLIT_ROWS = 200, 2048
 #: A leaf whose second pivot is nearly as near (by so much of the cosine) goes to the cell of that one as well.
 MARGIN = 0.04
-#: Up to so many rows a component is settled at once, beyond it leaves first; rows of a block of the passes over large components.
+#: From so many rows on a component is first looked at in blocks of ``BLOCK_ROWS`` rows, as it may be a single group; this changes no result.
 EXACT_ROWS, BLOCK_ROWS = 1024, 16384
+#: Numbers of a block of cosines or costs that a task holds at once, and clusters for which it holds what may merge, instead of comparing rows once more.
+_HELD, HELD_CLUSTERS = 1 << 20, 8192
 #: What rounding to bytes can take from a cosine.
 _ROUNDING = 0.012
 
@@ -245,6 +247,7 @@ def ward(sums: np.ndarray, sizes: np.ndarray, allowed: np.ndarray) -> np.ndarray
     """Ward agglomeration of cluster features; the cluster of each (by its first). Only ``allowed`` pairs merge, and a merged one only where both were allowed.
 
     The cost of a merge is the growth of the squared distance to the centres.
+    The plain form, with matrices of all pairs; ``_cones`` gives the same without them.
     """
     n = len(sums)
     cluster, total, size, ok = np.arange(n), sums.astype(np.float64).copy(), sizes.astype(np.float64).copy(), allowed.copy()
@@ -271,56 +274,83 @@ def ward(sums: np.ndarray, sizes: np.ndarray, allowed: np.ndarray) -> np.ndarray
         cost[a, j] = cost[j, a] = ((mean[a] - mean[j]) ** 2).sum(1) * size[a] * size[j] / (size[a] + size[j])
 
 
-def _settled(unit: np.ndarray, least: float) -> np.ndarray:
-    """The group of each row of a component, by its first row: all of a group have a cosine of ``least`` with each other."""
-    like = unit @ unit.T >= least - 1e-6
-    return np.zeros(len(unit), np.int64) if like.all() else ward(unit, np.ones(len(unit)), like)
-
-
-def _clique(centre: np.ndarray, n: np.ndarray, live: np.ndarray, angle: float) -> np.ndarray:
-    """Those of the ``live`` leaves around the largest that are within the angle of each other: all near it if they are, otherwise as many as fit, nearest to their common centre first."""
-    cut = np.cos(angle) - 1e-9
-    near = live[centre[live] @ centre[live[np.argmax(n[live])]] >= cut]
-    if all((centre[near[a : a + EXACT_ROWS]] @ centre[near].T >= cut).all() for a in range(0, len(near), EXACT_ROWS)):
-        return near
-    mean = centre[live[np.argmax(n[live])]]
-    for _ in range(8):
-        core = near[centre[near] @ mean >= np.cos(angle / 2)]
-        if not len(core):
-            break
-        mean = (centre[core] * n[core, None]).sum(0)
-        mean /= np.linalg.norm(mean)
-    rows = near[np.argsort(-(centre[near] @ mean), kind="stable")]
-    kept = rows[:0]
-    while len(rows):
-        # a block against what is kept, then one after another within the block
-        block, rows = rows[:EXACT_ROWS], rows[EXACT_ROWS:]
-        for a in range(0, len(kept), EXACT_ROWS):
-            block = block[(centre[block] @ centre[kept[a : a + EXACT_ROWS]].T >= cut).all(1)]
-        fits, free = centre[block] @ centre[block].T >= cut, np.ones(len(block), bool)
-        for i in range(len(block)):
-            if free[i]:
-                free[i + 1 :] &= fits[i, i + 1 :]
-        kept = np.concatenate([kept, block[free]])
-    return kept
+def _may_merge(centre: np.ndarray, group: np.ndarray, ask: np.ndarray, live: np.ndarray, cut: float) -> np.ndarray:
+    """For each cluster of ``ask`` and each of ``live`` if all their rows have a cosine of at least ``cut`` with each other."""
+    rows = np.flatnonzero(np.isin(group, live))
+    rows = rows[np.argsort(group[rows], kind="stable")]
+    others, starts = centre[rows].T, np.searchsorted(group[rows], live)
+    ends = np.append(starts[1:], len(rows))
+    at = np.searchsorted(live, ask)
+    own = np.concatenate([rows[starts[i] : ends[i]] for i in at])
+    whose = np.repeat(np.arange(len(at)), ends[at] - starts[at])
+    may = np.ones((len(at), len(live)), bool)
+    part = max(1, _HELD // len(rows))
+    for r in range(0, len(own), part):
+        near, to = centre[own[r : r + part]] @ others >= cut, whose[r : r + part]
+        if len(rows) > len(live):
+            near = np.logical_and.reduceat(near, starts, axis=1)
+        first = np.flatnonzero(np.diff(to, prepend=-1))
+        may[to[first]] &= np.logical_and.reduceat(near, first, axis=0)
+    return may
 
 
 def _cones(centre: np.ndarray, n: np.ndarray, angle: float) -> np.ndarray:
-    """The group of each leaf, by its first: leaves merge whose centres are all within the angle of each other.
+    """The group of each row, by its first: Ward agglomeration of rows of weight ``n``, where all rows of a group are within the angle of each other.
 
-    Up to ``EXACT_ROWS`` leaves by Ward; of more, groups are taken out one
-    after another around the largest leaf that is left, each compared with
-    all others, until Ward can settle the rest.
+    One rule for any number of rows. Clusters that are the cheapest to merge
+    for each other merge in rounds. A merged cluster is no cheaper for a third
+    one than its parts were, so that gives what merging the cheapest pair of
+    all, one after another, gives (``ward``), in memory in proportion to the
+    rows. It ends when no two clusters may merge.
     """
-    group, live = np.arange(len(centre)), np.arange(len(centre))
-    while len(live) > EXACT_ROWS:
-        found = _clique(centre, n, live, angle)
-        group[found] = found.min()
-        live = np.setdiff1d(live, found)
-    if len(live):
-        within = centre[live] @ centre[live].T >= np.cos(angle) - 1e-9
-        group[live] = live[0] if within.all() else live[ward(centre[live] * n[live, None], n[live], within)]
-    return group
+    cut, count = np.cos(angle) - 1e-9, len(centre)
+    part = max(1, _HELD // max(1, count))
+    if all((centre[a : a + part] @ centre.T >= cut).all() for a in range(0, count, part)):
+        return np.zeros(count, np.int64)
+    group, total, size = np.arange(count), centre * n[:, None], np.asarray(n, np.float64).copy()
+    mate, cost, live = np.full(count, -1), np.full(count, np.inf), np.arange(count)
+    ask, held, place = live, None, np.zeros(count, np.int64)
+    while True:
+        if held is None and len(live) <= HELD_CLUSTERS:
+            held = _may_merge(centre, group, live, live, cut)
+            held &= held.T
+            place[live] = np.arange(len(live))
+        mean = total[live] / size[live, None]
+        square, weight = (mean**2).sum(1), size[live]
+        step = max(1, _HELD // len(live))
+        for q in range(0, len(ask), step):
+            own = ask[q : q + step]
+            at, row = np.searchsorted(live, own), np.arange(len(own))
+            may = _may_merge(centre, group, own, live, cut) if held is None else held[np.ix_(place[own], place[live])]
+            price = (square[at, None] + square - 2 * mean[at] @ mean.T) * (weight[at, None] * weight / (weight[at, None] + weight))
+            price[~may] = np.inf
+            price[row, at] = np.inf
+            best = price.argmin(1)
+            cost[own] = price[row, best]
+            mate[own] = np.where(np.isfinite(cost[own]), live[best], -1)
+        live = live[mate[live] >= 0]
+        if not len(live):
+            return group
+        ask = live[~np.isin(mate[live], live)]
+        if len(ask):  # a cosine at the cut that another block rounds the other way
+            continue
+        a = live[(mate[mate[live]] == live) & (live < mate[live])]
+        b = mate[a]
+        if not len(a):  # a ring of equal costs
+            i = live[np.argmin(cost[live])]
+            a, b = np.array([min(i, mate[i])]), np.array([max(i, mate[i])])
+        total[a] += total[b]
+        size[a] += size[b]
+        if held is not None:
+            held[place[a]] &= held[place[b]]
+            held[:, place[a]] &= held[:, place[b]]
+        into = np.arange(count)
+        into[b] = a
+        group = into[group]
+        new = np.zeros(count, bool)
+        new[a] = new[b] = True
+        live = live[~np.isin(live, b)]
+        ask = live[new[live] | new[mate[live]]]
 
 
 def similar_groups(scored: DataFrame, least: float = 0.95, dims: int = 32, trees: int = 5) -> DataFrame:
@@ -328,52 +358,36 @@ def similar_groups(scored: DataFrame, least: float = 0.95, dims: int = 32, trees
 
     Only current rows with a vector of ``dims`` finite values, not all zero.
     All members of a group have a cosine of at least ``least`` with each
-    other; ``centrality`` is the cosine with the group's centre. A component
-    of up to ``EXACT_ROWS`` rows is settled at once. In a larger one the
-    leaves are merged, all rows assigned to the nearest centre and compared
-    (``_large_groups``); the rows that don't fit go through the whole once
-    more, as long as that settles a quarter of them. Exact copies and scaled
-    copies are members like others. Near leaves meet in a cell of one of the
-    random cell sets but with a vanishing probability (``near_leaves``;
-    measured recall: README). An empty table gives an empty result.
+    other; ``centrality`` is the cosine with the group's centre. The groups of
+    a component are those of Ward agglomeration of its rows (``_cones``),
+    whatever its size: no two groups, or a group and a row without one, could
+    be one group. A component of more than ``EXACT_ROWS`` rows that is a
+    single group is known as such without being gathered (``_parted``), with
+    the same result. Exact copies and scaled copies are members like others.
+    Near leaves meet in a cell of one of the random cell sets but with a
+    vanishing probability (``near_leaves``; measured recall: README). An empty
+    table gives an empty result.
     """
-    vectors, schema = current_rows(scored, "embedding"), "rep_id bigint, member_id bigint, centrality double"
+    schema = "rep_id bigint, member_id bigint, centrality double"
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _grouped(batches):
             ids, unit = part.column(1).to_numpy(), _matrix(part.column(2).combine_chunks(), np.float32).astype(np.float64)
-            yield from _members(ids, unit, _settled(unit, least))
-
-    out, before = None, 0
-    while True:
-        rows = staged(leaf_rows(vectors, "score_id", least, dims), "leaves")
-        leaves = rows.filter(F.col("id") == F.col("leaf"))
-        pairs = staged(near_leaves(leaves, least, trees, dims), "ties")
-        labels = component_labels(pairs)
-        own = rows.join(labels.select(F.col("id").alias("leaf"), "label"), "leaf", "left").filter(F.col("label").isNotNull() | (F.col("n") > 1))
-        own = staged(own.withColumn("label", F.coalesce("label", "leaf")), "members")
-        large = staged(own.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > EXACT_ROWS), "large")
-        small = own.join(large, "label", "left_anti").select("label", "id", "unit")
-        found = small.repartition("label").sortWithinPartitions("label", "id").mapInArrow(settle, schema)
-        out = found if out is None else out.unionByName(found)
-        n = large.agg(F.sum("_n")).first()[0] or 0
-        if not n:
-            return out
-        hot = own.join(large, "label")
-        if before and n > 0.75 * before:
-            # each leaf holds rows that are within the cosine of each other
-            return out.unionByName(_profiles(hot.select(F.col("leaf").alias("gid"), "id", "unit"), schema))
-        kept, left = _large_groups(hot, least)
-        out, before = out.unionByName(_profiles(kept, schema)), n
-        if not left.limit(1).count():
-            return out
-        vectors = left.mapInArrow(_vectors, "score_id bigint, embedding array<float>")
-
-
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        unit = _matrix(batch.column(1), np.float32)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(unit), pa.list_(pa.float32()))], names=["score_id", "embedding"])
+            yield from _members(ids, unit, _cones(unit, np.ones(len(unit)), acos(least - 1e-6)))
+
+    rows = staged(leaf_rows(current_rows(scored, "embedding"), "score_id", least, dims), "leaves")
+    leaves = rows.filter(F.col("id") == F.col("leaf"))
+    pairs = staged(near_leaves(leaves, least, trees, dims), "ties")
+    labels = component_labels(pairs)
+    own = rows.join(labels.select(F.col("id").alias("leaf"), "label"), "leaf", "left").filter(F.col("label").isNotNull() | (F.col("n") > 1))
+    own = staged(own.withColumn("label", F.coalesce("label", "leaf")).select("label", "id", "unit"), "members")
+    large = staged(own.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > EXACT_ROWS), "large")
+    if not large.limit(1).count():
+        return own.repartition("label").sortWithinPartitions("label", "id").mapInArrow(settle, schema)
+    hot = own.join(large, "label")
+    whole = staged(large.join(_parted(hot, least), "label", "left_anti"), "whole")
+    found = own.join(whole, "label", "left_anti").repartition("label").sortWithinPartitions("label", "id").mapInArrow(settle, schema)
+    return found.unionByName(_centred(hot.join(whole, "label", "left_semi").select(F.col("label").alias("gid"), "id", "unit")).select("rep_id", F.col("id").alias("member_id"), F.col("central").alias("centrality")))
 
 
 def _members(ids: np.ndarray, unit: np.ndarray, group: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -395,116 +409,41 @@ def _block(blocks: Column) -> Column:
     return F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int")
 
 
-def _assigned(own: DataFrame, centres: DataFrame) -> DataFrame:
-    """``(gid, id, unit, angle)``: each row with the nearest centre of its component, compared with all of them, in blocks of rows."""
+def _parted(own: DataFrame, least: float) -> DataFrame:
+    """``(label)`` of the components, of rows ``(label, id, unit, _n)``, in which two rows have a cosine below ``least``.
 
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _grouped(batches):
-            place, ids = part.column(2).to_numpy(), part.column(1).to_numpy()
-            unit = _matrix(part.column(3).combine_chunks(), np.float32).astype(np.float64)
-            first = place >= 0
-            mean, names = unit[first], ids[first]
-            rows = np.flatnonzero(~first)
-            if not len(rows):
-                continue
-            best, like = np.zeros(len(rows), np.int64), np.full(len(rows), -2.0)
-            for r in range(0, len(rows), 1024):
-                at = slice(r, r + 1024)
-                for c in range(0, len(mean), 8192):
-                    cos_ = unit[rows[at]] @ mean[c : c + 8192].T
-                    top = cos_.argmax(1)
-                    value = cos_[np.arange(len(top)), top]
-                    better = value > like[at]
-                    best[at] = np.where(better, top + c, best[at])
-                    like[at] = np.where(better, value, like[at])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[best]), pa.array(ids[rows]), _bytes(unit[rows].astype(np.float32)), pa.array(np.arccos(np.clip(like, -1, 1)))], names=["gid", "id", "unit", "angle"]
-            )
-
-    key = F.concat_ws("/", "label", "_b").alias("key")
-    blocks = _blocked("_n", BLOCK_ROWS)
-    rows = own.withColumn("_b", _block(blocks)).select(key, "id", F.lit(-1).cast("bigint").alias("place"), "unit")
-    spread = own.select("label", "_n").distinct().join(centres, "label").withColumn("_b", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    both = rows.unionByName(spread.select(key, F.col("gid").alias("id"), "place", F.col("mean").alias("unit")))
-    return both.repartition("key").sortWithinPartitions("key", "place", "id").mapInArrow(nearest, "gid bigint, id bigint, unit binary, angle double")
-
-
-def _compared(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(gid, id, unit, angle)`` parted into those within ``least`` of all others of their group, and the rest.
-
-    Nearest to the centre first, a row stays if it is within the cosine of all
-    that stay before it. Two rows whose angles to the centre add up to at most
-    that of the cosine need no look; all other pairs are compared, in pairs of
-    blocks. A round keeps what nothing undecided speaks against and drops what
-    a kept row does; it ends when all is decided.
+    Two rows whose angles to the centre add up to at most that of the cosine
+    need no look; all other pairs are compared, in pairs of blocks.
     """
-    angle = acos(least)
+    angle = acos(least - 1e-6)
 
     def clash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _grouped(batches):
-            ids, at = part.column(1).to_numpy(), part.column(3).to_numpy()
-            unit = _matrix(part.column(2).combine_chunks(), np.float32)
-            kept, asked = part.column(4).to_numpy(zero_copy_only=False), part.column(5).to_numpy(zero_copy_only=False)
-            a, b = np.flatnonzero(asked), np.flatnonzero(~asked)
-            for c in range(0, len(a), 512):
-                x = a[c : c + 512]
-                far = unit[x] @ unit[b].T < least - 1e-6
-                if not far.any():
-                    continue
-                lost = (far & kept[b]).any(1)
-                earlier = (at[b] < at[x, None]) | ((at[b] == at[x, None]) & (ids[b] < ids[x, None]))
-                late = (far & ~kept[b] & earlier).any(1)
-                hit = lost | late
-                yield pa.RecordBatch.from_arrays([pa.array(ids[x[hit]]), pa.array(lost[hit])], names=["id", "lost"])
-
-    widest = rows.groupBy("gid").agg(F.max("angle").alias("_far"))
-    state = staged(rows.join(widest, "gid").withColumn("kept", F.col("angle") <= angle / 2), "compared")
-    while True:
-        refs = state.filter(F.col("kept").isNotNull() & (F.col("angle") + F.col("_far") > angle - 1e-6))
-        asked = state.filter(~F.col("kept"))
-        size = refs.filter("_far > %r" % (angle / 2)).groupBy("gid").agg(F.count(F.lit(1)).alias("_r")).join(asked.groupBy("gid").agg(F.count(F.lit(1)).alias("_q")), "gid")
-        size = staged(size, "sizes")
-        r, q = _blocked("_r", BLOCK_ROWS), _blocked("_q", BLOCK_ROWS)
-        key = F.concat_ws("/", "gid", "_i", "_j").alias("key")
-        left = refs.join(size, "gid").withColumn("_i", _block(r)).withColumn("_j", F.explode(F.sequence(F.lit(0), q - 1)))
-        right = asked.join(size, "gid").withColumn("_j", _block(q)).withColumn("_i", F.explode(F.sequence(F.lit(0), r - 1)))
-        pairs = left.select(key, "id", "unit", "angle", "kept", F.lit(False).alias("asked")).unionByName(right.select(key, "id", "unit", "angle", "kept", F.lit(True).alias("asked")))
-        hits = pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(clash, "id bigint, lost boolean").groupBy("id").agg(F.max("lost").alias("lost"))
-        # kept: true, false as long as it's open, null if it was dropped
-        now = F.when(F.col("kept"), True).when(F.col("kept").isNull() | F.col("lost"), F.lit(None).cast("boolean")).when(F.col("lost").isNull(), True).otherwise(False)
-        state = staged(state.join(hits, "id", "left").withColumn("kept", now).drop("lost"), "compared")
-        if not state.filter(~F.col("kept")).limit(1).count():
-            return state.filter("kept").select("gid", "id", "unit"), state.filter("kept IS NULL").select("gid", "id", "unit")
-
-
-def _large_groups(own: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Groups ``(gid, id, unit)`` of the large components, all rows of one within ``least`` of each other, and the rows ``(id, unit)`` that belong to none.
-
-    The leaves are agglomerated, every row goes to the nearest merged centre
-    of its component and is compared with the rows that it meets there.
-    """
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _grouped(batches):
-            label, ids, n = part.column(0).to_numpy(), part.column(1).to_numpy(), part.column(3).to_numpy().astype(np.float64)
-            centre = _matrix(part.column(2).combine_chunks(), np.float32).astype(np.float64)
-            names, group = np.unique(_cones(centre, n, acos(least)), return_inverse=True)
-            mean = np.zeros((len(names), centre.shape[1]))
-            np.add.at(mean, group, centre * n[:, None])
-            mean /= np.linalg.norm(mean, axis=1, keepdims=True)
-            yield pa.RecordBatch.from_arrays([pa.array(label[: len(names)]), pa.array(np.arange(len(names))), pa.array(ids[names]), _bytes(mean.astype(np.float32))], names=["label", "place", "gid", "mean"])
-
-    leaves = own.filter(F.col("id") == F.col("leaf")).select("label", "id", F.coalesce("centre", "unit").alias("_c"), "n")
-    merged = staged(leaves.repartition("label").sortWithinPartitions("label", "id").mapInArrow(merge, "label bigint, place bigint, gid bigint, mean binary"), "merged")
-    rows = staged(_assigned(own, merged), "assigned")
-    kept, lost = _compared(rows, least)
-    sizes = kept.groupBy("gid").agg(F.count(F.lit(1)).alias("_n"))
-    alone = kept.join(sizes.filter("_n = 1"), "gid", "left_semi")
-    return kept.join(sizes.filter("_n > 1"), "gid", "left_semi"), staged(lost.unionByName(alone).select("id", "unit"), "left")
-
-
-def _profiles(rows: DataFrame, schema: str) -> DataFrame:
-    """Members of groups ``(gid, id, unit)`` of any size with the cosine to their centre; groups of one are left out."""
+            unit = _matrix(part.column(3).combine_chunks(), np.float32).astype(np.float64)
+            asked = part.column(4).to_numpy(zero_copy_only=False)
+            x, y = unit[asked], unit[~asked]
+            step = max(1, _HELD // max(1, len(y)))
+            if any((x[a : a + step] @ y.T < least - 1e-6).any() for a in range(0, len(x), step)):
+                yield pa.RecordBatch.from_arrays([part.column(1).combine_chunks()[:1]], names=["label"])
+
+    rows = own.select(F.col("label").alias("gid"), "id", "unit")
+    centred = _centred(rows).select(F.col("gid").alias("label"), "id", "unit", F.acos(F.least(F.col("central"), F.lit(1.0))).alias("_angle"))
+    widest = centred.groupBy("label").agg(F.max("_angle").alias("_far"))
+    state = staged(centred.join(widest, "label"), "angles")
+    # a small angle is exact to some 5e-4 only, as the rows are of single precision
+    refs, asked = state.filter(F.col("_angle") + F.col("_far") > angle - 2e-3), state.filter(F.col("_angle") > angle / 2 - 1e-3)
+    size = refs.groupBy("label").agg(F.count(F.lit(1)).alias("_r")).join(asked.groupBy("label").agg(F.count(F.lit(1)).alias("_q")), "label")
+    size = staged(size, "sizes")
+    r, q = _blocked("_r", BLOCK_ROWS), _blocked("_q", BLOCK_ROWS)
+    key = F.concat_ws("/", "label", "_i", "_j").alias("key")
+    left = refs.join(size, "label").withColumn("_i", _block(r)).withColumn("_j", F.explode(F.sequence(F.lit(0), q - 1)))
+    right = asked.join(size, "label").withColumn("_j", _block(q)).withColumn("_i", F.explode(F.sequence(F.lit(0), r - 1)))
+    pairs = left.select(key, "label", "id", "unit", F.lit(False).alias("asked")).unionByName(right.select(key, "label", "id", "unit", F.lit(True).alias("asked")))
+    return pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(clash, "label bigint").distinct()
+
+
+def _centred(rows: DataFrame) -> DataFrame:
+    """Rows ``(gid, id, unit)`` of groups of any size with ``rep_id``, the smallest id of the group, and ``central``, the cosine to its centre."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -513,24 +452,22 @@ def _profiles(rows: DataFrame, schema: str) -> DataFrame:
             total, least = np.zeros((len(gid), unit.shape[1])), np.full(len(gid), np.iinfo(np.int64).max)
             np.add.at(total, at, unit)
             np.minimum.at(least, at, batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(gid), pa.array(least), pa.array(np.bincount(at, minlength=len(gid))), _bytes(total)], names=["gid", "rep", "n", "total"])
+            yield pa.RecordBatch.from_arrays([pa.array(gid), pa.array(least), _bytes(total)], names=["gid", "rep", "total"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _grouped(batches):
-            if sum(part.column(2).to_pylist()) > 1:
-                total = _matrix(part.column(3).combine_chunks(), np.float64).sum(0)
-                mean = (total / np.linalg.norm(total)).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks()[:1], pa.array([min(part.column(1).to_pylist())]), _bytes(mean[None])], names=["gid", "rep_id", "_mean"])
+            total = _matrix(part.column(2).combine_chunks(), np.float64).sum(0)
+            mean = total / max(np.linalg.norm(total), 1e-12)
+            yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks()[:1], pa.array([min(part.column(1).to_pylist())]), _bytes(mean[None])], names=["gid", "rep_id", "_mean"])
 
     def central(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, mean = _matrix(batch.column(2), np.float32), _matrix(batch.column(3), np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((unit * mean).sum(1).astype(np.float64))], names=["rep_id", "member_id", "centrality"])
+            unit, mean = _matrix(batch.column(3), np.float32).astype(np.float64), _matrix(batch.column(4), np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array((unit * mean).sum(1))], names=["gid", "rep_id", "id", "unit", "central"])
 
-    rows = rows.select("gid", "id", "unit")
-    partial = rows.mapInArrow(sums, "gid bigint, rep bigint, n bigint, total binary")
+    partial = rows.mapInArrow(sums, "gid bigint, rep bigint, total binary")
     means = partial.repartition("gid").sortWithinPartitions("gid").mapInArrow(whole, "gid bigint, rep_id bigint, _mean binary")
-    return rows.join(means, "gid").select("rep_id", F.col("id").alias("member_id"), "unit", "_mean").mapInArrow(central, schema)
+    return rows.join(means, "gid").select("gid", "rep_id", "id", "unit", "_mean").mapInArrow(central, "gid bigint, rep_id bigint, id bigint, unit binary, central double")
 
 
 def near_traces(scored: DataFrame) -> DataFrame:
